@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelwright.llm import bpe, chat, fingerprints, langid, licenses, mixing, quality
+from parcelwright.llm import bpe, chat, fingerprints, langid, licenses, mixing, quality, wrappers
 from parcelwright.llm.oracles import ORACLES  # noqa: F401
 from parcelwright.llm.text import documents
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(documents(spark, sf_dir, "pages"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(documents(spark, sf_dir))
 
@@ -44,5 +48,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_fingerprints, op4_chat_formatting, op5_quality_rules, op6_bpe, op7_mixing, op9_license_scans, op10_language_id)
+    f.__name__: f for f in (op1_html_extraction, op3_fingerprints, op4_chat_formatting, op5_quality_rules, op6_bpe, op7_mixing, op9_license_scans, op10_language_id)
 }
