@@ -77,3 +77,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     split = placed.where(ends_here).withColumn("extra", start * 2 + F.col("size") <= F.col("cut") * 2)
     used = whole.unionByName(split).withColumn("epochs", F.col("full") + F.col("extra").cast("long"))
     return used.select("doc_id", "source", "size", "source_size", "target", "epochs", (F.col("size") * F.col("epochs")).alias("taken"))
+
+
+def take(docs: DataFrame, **settings) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as ``mix`` uses it, all columns, under its own doc_id."""
+    plan = mix(docs, **settings).where("epochs > 0").groupBy("doc_id", "source", "size").agg(F.max("epochs").alias("_epochs"))
+    plan = plan.withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (n_words(F.col("text")) == F.col("_size"))
+    used = docs.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int"))))
+    return used.select(*docs.columns)

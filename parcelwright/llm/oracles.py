@@ -82,4 +82,37 @@ run AS (
 SELECT doc_id, size, source_size, target,
   CAST(size * (full_epochs + CASE WHEN cut > 0 AND start * 2 + size <= cut * 2 THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM run"""
 
-ORACLES = {"op5_quality_rules": OP5, "op7_mixing": OP7}
+OP2 = r"""WITH
+d AS (SELECT row_number() OVER () AS rid, doc_id, text, n_chars FROM documents),
+l AS (SELECT rid, doc_id, unnest(range(1, len(ls) + 1)) AS i, ls FROM (SELECT rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM d)),
+t AS (SELECT rid, doc_id, i, ls[i] AS line, list_transform(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w FROM l),
+k AS (
+  SELECT rid, doc_id, i, len(w) AS n, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 8 THEN [array_to_string(w, ' ')] ELSE
+    list_prepend(array_to_string(w, ' '), list_transform([0, 1, 2, 3], lambda p: CAST(p AS VARCHAR) || ' ' || CAST(len(w) AS VARCHAR) || ' ' ||
+      array_to_string(w[1:3 + (len(w) - 3) * p // 4], ' ') || ' | ' || array_to_string(w[(len(w) - 3) * (p + 1) // 4 + 4:], ' '))) END AS keys
+  FROM t),
+e AS (SELECT rid, doc_id, i, unnest(keys) AS key FROM k),
+o AS (SELECT key, min(doc_id) AS first_doc FROM (SELECT DISTINCT rid, doc_id, key FROM e) GROUP BY key HAVING count(*) >= 10),
+x AS (SELECT DISTINCT rid, i FROM e JOIN o USING (key) WHERE e.doc_id IS DISTINCT FROM o.first_doc),
+r AS (
+  SELECT t.rid, count(*) FILTER (WHERE len(t.w) > 0) AS n_lines, count(x.i) AS n_dropped,
+    coalesce(string_agg(t.line, chr(10) ORDER BY t.i) FILTER (WHERE x.i IS NULL), '') AS text
+  FROM t LEFT JOIN x USING (rid, i) GROUP BY t.rid)
+SELECT d.doc_id, r.n_lines, r.n_dropped, CASE WHEN d.text IS NULL THEN d.n_chars ELSE length(r.text) END AS n_chars, sha256(r.text) AS text_sha256
+FROM d JOIN r USING (rid)"""
+
+OP4 = r"""WITH
+c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL
+  SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+    + len(regexp_extract_all(text, '<s>|</s>|\[INST\]|\[/INST\]|\[ANS\]|<<SYS>>|<</SYS>>|\[ROLE\]|\[/ROLE\]'))
+    + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 18 WHEN 'assistant' THEN 11 ELSE 16 + length(role) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+ORACLES = {"op2_line_dedup": OP2, "op4_chat_formatting": OP4, "op5_quality_rules": OP5, "op7_mixing": OP7}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelwright.llm import bpe, chat, fingerprints, langid, licenses, mixing, quality, wrappers
+from parcelwright.llm import bpe, chat, fingerprints, langid, licenses, linededup, mixing, neardup, quality, wrappers
 from parcelwright.llm.oracles import ORACLES  # noqa: F401
 from parcelwright.llm.text import documents
 
@@ -15,6 +16,11 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(documents(spark, sf_dir, "pages"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", "n_chars", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(documents(spark, sf_dir))
 
@@ -39,6 +45,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("node")
+
+
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir)).drop("detections")
 
@@ -48,5 +58,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op3_fingerprints, op4_chat_formatting, op5_quality_rules, op6_bpe, op7_mixing, op9_license_scans, op10_language_id)
+    f.__name__: f for f in (op1_html_extraction, op2_line_dedup, op3_fingerprints, op4_chat_formatting, op5_quality_rules, op6_bpe, op7_mixing, op8_near_duplicates, op9_license_scans, op10_language_id)
 }
