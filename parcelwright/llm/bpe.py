@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -23,14 +24,14 @@ from functools import cache
 
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 40_000_000
 PAYLOAD_CHARS = 2_000_000
-_FIELDS = ("block", "kind", "word", "ids", "pieces", "n", "payload")
-_TYPES = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary())
-_SCHEMA = "block long, kind int, word string, ids string, pieces string, n int, payload binary"
+_FIELDS = ("block", "kind", "word", "ids", "payload")
+_TYPES = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.binary())
+_SCHEMA = "block long, kind int, word string, ids string, payload binary"
 
 
 def _latin() -> str:
@@ -52,6 +53,7 @@ class Vocabulary:
     """A tokenizer file, opened in the process that uses it; ``content`` is the file's text."""
 
     def __init__(self, content: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(content)
@@ -80,16 +82,14 @@ class Vocabulary:
                 found += [bytes(self.byte_chars[c] for c in p).decode() for p, _ in pieces]
         return found
 
-    def encode(self, words: list[str]) -> Iterator[tuple[str, str, int]]:
-        """Ids and pieces of each word, joined by spaces, and their number."""
+    def encode(self, words: list[str]) -> Iterator[str]:
+        """The ids of each word, joined by spaces."""
         for word, e in zip(words, self.word.encode_batch(words, add_special_tokens=False), strict=True):
-            ids = [self.special[word[1:]]] if word[:1] == "\0" and word[1:] in self.special else e.ids
-            yield " ".join(map(str, ids)), " ".join(map(self.piece, ids)), len(ids)
+            yield str(self.special[word[1:]]) if word[:1] == "\0" and word[1:] in self.special else " ".join(map(str, e.ids))
 
-    @cache  # noqa: B019
-    def piece(self, i: int) -> str:
-        """The id-to-piece table."""
-        return self.whole.id_to_token(i)
+    def pieces(self) -> dict[str, str]:
+        """The id-to-piece table, ids as text."""
+        return {str(i): piece for piece, i in self.whole.get_vocab(with_added_tokens=True).items()}
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -107,8 +107,10 @@ def _emit(rows: list[tuple]) -> pa.RecordBatch:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, str]]:
     """block, doc_id, text of each document; both passes number the blocks alike."""
-    block, size = TaskContext.get().partitionId() << 24, 0
+    block, size = None, 0
     for batch in batches:
+        if block is None and len(batch):
+            block = batch.column("part")[0].as_py() << 24
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             text = text or ""
             if size > BLOCK_CHARS:
@@ -143,17 +145,13 @@ def _encode_words(content) -> object:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(content.value)
-        last, known = None, ("", "", 0)
+        last, known = None, ""
         for batch in batches:
             words, blocks = batch.column("word").to_pylist(), batch.column("block").to_pylist()
             new = [w for w in dict.fromkeys(words) if w != last]
             table = {last: known} if last is not None else {}
             table.update(zip(new, vocabulary.encode(new), strict=True))
-            rows = [table[w] for w in words]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), pa.array([0] * len(words), pa.int32()), pa.array(words, pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int32()), pa.nulls(len(words), pa.binary())],
-                names=list(_FIELDS),
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([0] * len(words), pa.int32()), pa.array(words, pa.string()), pa.array([table[w] for w in words], pa.string()), pa.nulls(len(words), pa.binary())], names=list(_FIELDS))
             last = words[-1] if words else last
             known = table.get(last, known)
 
@@ -166,7 +164,7 @@ def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         if held:
-            yield _emit([(current, 1, None, None, None, None, packer.compress(json.dumps(held, ensure_ascii=False).encode("utf-8", "surrogatepass")))])
+            yield _emit([(current, 1, None, None, packer.compress(json.dumps(held, ensure_ascii=False).encode("utf-8", "surrogatepass")))])
 
     for block, doc_id, text in _blocks(batches):
         if block != current or size > PAYLOAD_CHARS:
@@ -184,28 +182,26 @@ def _join_back(content, keep_text: bool) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(content.value)
         packer = zstandard.ZstdDecompressor()
-        current = None
-        ids: dict[str, str] = {}
-        pieces: dict[str, str] = {}
-        counts: dict[str, int] = {}
+        pieces = vocabulary.pieces()
+        current, ids = None, {}
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in _FIELDS)
-            for block, kind, word, word_ids, word_pieces, n, payload in zip(*columns, strict=True):
+            for block, kind, word, word_ids, payload in zip(*columns, strict=True):
                 if block != current:
-                    current, ids, pieces, counts = block, {}, {}, {}
+                    current, ids = block, {}
                 if kind == 0:
-                    ids[word], pieces[word], counts[word] = word_ids, word_pieces, n
+                    ids[word] = word_ids
                     continue
                 out = []
                 for doc_id, text in json.loads(packer.decompress(payload).decode("utf-8", "surrogatepass")):
                     words = vocabulary.words(text)
-                    absent = [w for w in dict.fromkeys(words) if w not in ids]  # the passes saw other blocks, as after a retry over unordered input
-                    for w, (i, p, k) in zip(absent, vocabulary.encode(absent), strict=True):
-                        ids[w], pieces[w], counts[w] = i, p, k
+                    absent = [w for w in set(words) if w not in ids]  # none, unless the two passes saw other blocks (a retry over unordered input)
+                    ids.update(zip(absent, vocabulary.encode(absent), strict=True))
                     joined = " ".join(filter(None, map(ids.__getitem__, words)))
-                    decoded = " ".join(filter(None, map(pieces.__getitem__, words)))
-                    row = (doc_id, sum(map(counts.__getitem__, words)), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
-                    out.append((*row, [int(i) for i in joined.split()], decoded) if keep_text else row)
+                    parts = joined.split()
+                    decoded = " ".join(map(pieces.__getitem__, parts))
+                    row = (doc_id, len(parts), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+                    out.append((*row, list(map(int, parts)), decoded) if keep_text else row)
                 types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], types[i]) for i in range(len(names))], names=names)
 
@@ -220,7 +216,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, keep_text: bool = Fal
     """
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(tokenizer_json)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text", F.spark_partition_id().alias("part"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = rows.mapInArrow(_distinct_words(content), "word string, block long").repartition(n, "word").sortWithinPartitions("word")
     table = words.mapInArrow(_encode_words(content), _SCHEMA)
