@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwright.llm.text import BLANKS, let
+from parcelwright.llm.text import BLANKS, let, packed
 from parcelwright.plans.staging import stage
 
 DEPTH, PARTS, MIN_TOKENS, MIN_DOCS = 3, 4, 8, 10
@@ -52,7 +52,7 @@ def recurring(keyed: DataFrame, min_docs: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and ``n_lines``, ``n_dropped`` (lines with a token).
 
-    All columns are kept, and n_chars, where there is one, follows the text. Lines are split at ``\\n``; blank lines stay. Null text stays
+    All columns are kept (but for older ones of these names); n_chars, where there is one, follows the text. Lines are split at ``\\n``; blank lines stay. Null text stays
     null; rows with equal doc_id and text are changed alike; an empty table gives an empty result.
     """
     text_hash = F.xxhash64(F.col("text"))
@@ -63,13 +63,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     lines = keyed.select("doc_id", "_hash", F.posexplode("keys").alias("line", "templates")).select("doc_id", "_hash", "line", F.explode("templates").alias("template"))
     hits = lines.join(side, "template").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     dropped = hits.groupBy(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h")).agg(F.collect_set("line").alias("_dropped"))
-    joined = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash == F.col("_h")), "left")
-    every = F.split(F.col("text"), "\n", -1)
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_h"))
+    joined = packed(docs).join(dropped, same, "left")
+    every = F.split(F.col("row.text"), "\n", -1)
     kept = let(F.col("_dropped"), lambda d: F.array_join(F.filter(every, lambda x, i: ~F.array_contains(d, i)), "\n"))
     n_lines = F.size(F.filter(every, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    out = joined.withColumn("_kept", F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept))
-    out = out.withColumns({"n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.array_size("_dropped"), F.lit(0)).cast("long")})
-    out = out.withColumn("text", F.col("_kept"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars").cast("long")))
-    return out.select(*docs.columns, "n_lines", "n_dropped")
+    out = joined.select(
+        "row", F.when(F.col("_dropped").isNull(), F.col("row.text")).otherwise(kept).alias("_text"),
+        F.when(F.col("row.text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.coalesce(F.array_size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+    )
+    changed = {"text": F.col("_text"), "n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("row.n_chars").cast("long")) if "n_chars" in docs.columns else None}
+    columns = [changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return out.select(*columns, "n_lines", "n_dropped")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwright.llm.text import n_words
+from parcelwright.llm.text import n_words, packed
 from parcelwright.plans.staging import stage
 
 
@@ -83,6 +83,6 @@ def take(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as ``mix`` uses it, all columns, under its own doc_id."""
     plan = mix(docs, **settings).where("epochs > 0").groupBy("doc_id", "source", "size").agg(F.max("epochs").alias("_epochs"))
     plan = plan.withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (n_words(F.col("text")) == F.col("_size"))
-    used = docs.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int"))))
-    return used.select(*docs.columns)
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & F.col("row.source").eqNullSafe(F.col("_source")) & (n_words(F.col("row.text")) == F.col("_size"))
+    used = packed(docs).join(plan, same)
+    return used.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int")))).select("row.*")

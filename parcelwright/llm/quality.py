@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwright.llm.text import let, words
+from parcelwright.llm.text import let, packed, words
 from parcelwright.plans.staging import stage
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -129,4 +129,5 @@ def judge(docs: DataFrame, min_group: int = 50, salts: int = 16) -> DataFrame:
 def keep_good(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are kept, all their columns, matched by doc_id and the hash of the text."""
     good = judge(docs, **settings).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_semi")
+    rows = packed(docs)
+    return rows.join(good, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash")), "left_semi").select("row.*")

@@ -28,3 +28,8 @@ def n_words(text: Column) -> Column:
 
 def documents(spark, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as one struct ``row``, so that no column of it can clash with a name of ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
