@@ -2,7 +2,9 @@
 
 Sets of five-word shingles are represented by ``COORDINATES`` min-hash values. A run starts by sampling one coordinate:
 sets that share its value share a path. A bucket (the sets of one path) of at most ``BUCKET`` sets is compared by brute
-force on the sketches; a larger one is split further, by coordinates sampled from its path, ``BRANCHES`` at a time.
+force on the sketches; a larger one is split further, by coordinates sampled from its path, ``BRANCHES`` at a time. Before that, its
+sets are compared with its first: those alike are linked to it, and those that agree on ``LEAVE`` coordinates need not go
+on, as whatever is linked to them is like the first too; so a large group of near copies shrinks at once.
 Runs are repeated so often that a pair at the threshold is missed with probability 1 - ``RECALL`` at most. Buckets that
 stay large at ``DEPTH`` agree on so many coordinates that all of their sets are linked to the first as candidates.
 
@@ -23,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelwright.llm.text import packed
 from parcelwright.operators.graph import connected_components
 from parcelwright.plans.staging import stage
 
@@ -33,7 +36,8 @@ COORDINATES = 64
 #: Coordinates that must agree for a candidate; a pair at the threshold agrees on fewer with probability 5e-7.
 AGREE = 36
 RECALL = 0.99999
-BUCKET, BRANCHES, DEPTH = 400, 2, 5
+LEAVE = 56
+BUCKET, BRANCHES, DEPTH = 2000, 2, 5
 BLOCK, BLOCK_SHINGLES = 1000, 3_000_000
 #: Members of candidate components that are sent to every executor; above, texts and members are joined by a shuffle.
 BROADCAST_ROWS = 300_000
@@ -54,18 +58,20 @@ class Shingler:
 
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
-        self.table = str.maketrans(_BLANK, " " * len(_BLANK))
 
     def __call__(self, text: str) -> np.ndarray:
-        words = text.translate(self.table).split(" ") if any(c in text for c in _BLANK[1:]) else text.split(" ")
-        words = list(filter(None, words))
+        for c in _BLANK[1:]:
+            if c in text:
+                text = text.replace(c, " ")
+        words = list(filter(None, text.split(" ")))
         if not words:
             return np.zeros(0, np.uint64)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         known = self.known
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
         h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         k = min(SHINGLE, len(h))
         s = h[: len(h) - k + 1].copy()
@@ -190,7 +196,7 @@ def _buckets(last: bool):
     """Rows sorted by path: links within small buckets (kind 0), the rows of large ones (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path0, flooded, first = None, False, None  # the bucket that the last batch left open
+        path0, flooded, first, pivot = None, False, None, None  # the bucket that the last batch left open
         nodes, sketches, held = [], [], 0
 
         def close() -> list[tuple[np.ndarray, np.ndarray]]:
@@ -212,7 +218,7 @@ def _buckets(last: bool):
                 a, b = cuts[k], cuts[k + 1]
                 if path[a] != path0:
                     links += close()
-                    path0, flooded, first = path[a], False, node[a]
+                    path0, flooded, first, pivot = path[a], False, node[a], small[a].copy()
                     nodes, sketches, held = [], [], 0
                 nodes.append(node[a:b])
                 sketches.append(small[a:b])
@@ -223,7 +229,11 @@ def _buckets(last: bool):
                     if last:
                         yield _rows(0, None, all_nodes, np.full(len(all_nodes), first), None)
                     else:
-                        yield _rows(1, np.full(len(all_nodes), path0), all_nodes, None, all_sketches)
+                        agree = (all_sketches == pivot).sum(axis=1)
+                        alike, on = agree >= AGREE, agree < LEAVE
+                        links.append((all_nodes[alike], np.full(int(alike.sum()), first)))
+                        if on.any():
+                            yield _rows(1, np.full(int(on.sum()), path0), all_nodes[on], None, all_sketches[on])
                     nodes, sketches, held = [], [], 0
             if links:
                 yield _rows(0, None, np.concatenate([x for x, _ in links]), np.concatenate([y for _, y in links]), None)
@@ -364,7 +374,7 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, all columns, without the near duplicates of others: of each class one row stays, with the
     smallest doc_id, and of several rows with that id one."""
     no_id = F.lit(-(2**63)).cast("long")
-    tagged = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), no_id), "_node": F.xxhash64(F.coalesce("text", F.lit("")))})
+    tagged = packed(docs).withColumns({"_id": F.coalesce(F.col("row.doc_id").cast("long"), no_id), "_node": F.xxhash64(F.coalesce("row.text", F.lit("")))})
     first = near_duplicates(docs, **settings).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = first.groupBy(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("_id")).agg(F.min("node").alias("_node"))
-    return tagged.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).drop("_id", "_node")
+    return tagged.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).select("row.*")
