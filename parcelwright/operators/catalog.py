@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwright.functions.scalars import normalize_name
@@ -50,3 +50,15 @@ def seed(existing: DataFrame, communes: DataFrame, period: str) -> DataFrame:
 def upsert(catalog: DataFrame, changed: DataFrame) -> DataFrame:
     """Rows of ``changed`` replace those with their key."""
     return catalog.join(changed.select(*KEY).distinct(), KEY, "left_anti").unionByName(changed, allowMissingColumns=True)
+
+
+def chosen(communes: DataFrame, wanted: list[str]) -> DataFrame:
+    """The communes whose code or normalised name is in a list."""
+    names = [normalize_name(F.lit(w)) for w in wanted]
+    return communes.where(F.col("code").isin(*wanted) | normalize_name(F.col("name")).isin(*names))
+
+
+def by_position(communes: DataFrame, region: str, positions: list[int] | None = None) -> DataFrame:
+    """A region's communes by name, all or those at 1-based positions."""
+    ordered = in_region(communes, region).withColumn("position", F.row_number().over(Window.orderBy(normalize_name(F.col("name")))))
+    return ordered if positions is None else ordered.where(F.col("position").isin(*positions))

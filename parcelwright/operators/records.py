@@ -82,8 +82,8 @@ def normalize(responses: DataFrame) -> DataFrame:
     ``__3``, ... for labels that repeat with another value, and what is left becomes ``api_name``. No JSON, an array or
     a scalar counts as an empty object.
     """
-    r = responses.withColumn("_m", F.coalesce(F.when(F.trim("response").startswith("{"), F.from_json("response", RECORD)), F.from_json(F.lit("{}"), RECORD)))
-    m = F.col("_m")
+    r = responses.withColumn("__json", F.coalesce(F.when(F.trim("response").startswith("{"), F.from_json("response", RECORD)), F.from_json(F.lit("{}"), RECORD)))
+    m = F.col("__json")
     text = lambda c: F.when(c.isNull() | (c == "null"), None).otherwise(c)
     field = lambda name: text(m[name])
     block = F.coalesce(field("manzana"), F.col("manzana"), F.lit(""))
@@ -110,3 +110,13 @@ def normalize(responses: DataFrame) -> DataFrame:
 def wide(records: DataFrame, keys: list[str]) -> DataFrame:
     """The extras that a sink asks for, as columns."""
     return records.select(*[c for c in records.columns if c != "extras"], *[F.col("extras")[k].alias(k) for k in keys])
+
+
+def role_rows(state: DataFrame, commune: str) -> DataFrame:
+    """A commune's current role answers, normalised, ordered as text by block and lot."""
+    rows = state.where((F.col("source") == "role") & (F.col("commune") == commune))
+    tagged = rows.select(
+        "commune", "manzana", "predio", "response", (F.col("status") == "ok").alias("_ok"), F.col("status").alias("_status"), F.col("attempts").alias("_api_attempts"),
+        F.col("queried_at").alias("_api_queried_at"), F.col("error").alias("_api_error"), F.col("manzana").alias("_m"), F.col("predio").alias("_p"),
+    )
+    return normalize(tagged).orderBy("_m", "_p").drop("_m", "_p")

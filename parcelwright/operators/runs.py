@@ -179,3 +179,10 @@ def representative_point(shaped: DataFrame, key: str) -> DataFrame:
     on_row = shaped.join(middle.withColumnRenamed("gy", "_gy"), (F.col(key) == F.col("_key")) & (F.col("gy") == F.col("_gy")))
     longest = on_row.groupBy(key).agg(F.max_by(F.struct("x0", "x1", "gy"), F.struct(F.col("x1") - F.col("x0"), -F.col("x0"))).alias("r"))
     return longest.select(key, ((F.col("r.x0") + F.col("r.x1")) / 2).alias("x"), (F.col("r.gy") + 0.5).alias("y"))
+
+
+def block_metrics(mask: DataFrame, shaped: DataFrame) -> DataFrame:
+    """One row, the metrics of all blocks as a JSON list in order of block; the list has one short entry per block."""
+    n = shaped.groupBy("block_id").agg(F.count_distinct("polygon_id").alias("polygons"))
+    m = image_metrics(mask).join(n, "block_id", "left").select("block_id", "fill_pixels", "pixels", F.coalesce("polygons", F.lit(0)).alias("polygons"))
+    return m.agg(F.to_json(F.array_sort(F.collect_list(F.struct("block_id", "fill_pixels", "pixels", "polygons")))).alias("metrics"))

@@ -224,6 +224,16 @@ g AS (SELECT DISTINCT polygon_id, gy FROM shapes),
 o AS (SELECT *, row_number() OVER (PARTITION BY polygon_id ORDER BY gy) - 1 AS i, count(*) OVER (PARTITION BY polygon_id) AS n FROM g),
 m AS (SELECT polygon_id, gy FROM o WHERE i = (n - 1) // 2)
 SELECT polygon_id, (x0 + x1) / 2 AS x, gy + CAST(0.5 AS DOUBLE) AS y FROM shapes JOIN m USING (polygon_id, gy) QUALIFY row_number() OVER (PARTITION BY polygon_id ORDER BY x1 - x0 DESC, x0) = 1""",
+    "q_block_metrics": f"""WITH RECURSIVE {_SHAPES},
+f AS (SELECT block_id, count(*) AS fill FROM px GROUP BY block_id), n AS (SELECT block_id, count(DISTINCT polygon_id) AS k FROM shapes GROUP BY block_id)
+SELECT '[' || string_agg('{{"block_id":' || block_id || ',"fill_pixels":' || fill || ',"pixels":1024,"polygons":' || k || '}}', ',' ORDER BY block_id) || ']' AS metrics FROM f JOIN n USING (block_id)""",
+    "q_traced": f"""WITH RECURSIVE {_SHAPES}
+SELECT polygon_id, CAST(sum(x1 - x0) AS DOUBLE) AS area, CAST(min(x0) AS DOUBLE) AS minx, CAST(min(gy) AS DOUBLE) AS miny, CAST(max(x1) AS DOUBLE) AS maxx, CAST(max(gy) + 1 AS DOUBLE) AS maxy FROM shapes GROUP BY polygon_id""",
+    "q_role_rows": f"""WITH {_STATE}
+SELECT CAST(commune AS INT) AS comuna, '10' AS manzana, split_part(query_key, ':', 2) AS predio, '10-' || split_part(query_key, ':', 2) AS rol, status = 'ok' AS _ok, status AS _status, json_extract_string(response, '$.k') AS api_k
+FROM state WHERE commune = '7'""",
+    "q_region_positions": f"""WITH {_COMMUNES}, c AS (SELECT code, name, CAST(row_number() OVER (ORDER BY name) AS INT) AS "position" FROM communes WHERE region = 'EUROPE' AND code IN ('3', '8', '13'))
+SELECT * FROM c WHERE "position" IN (1, 3)""",
     "q_request_identities": f"""WITH {_CELLS}
 SELECT code, sc_x, sc_y, sha256('{{"commune_code":"' || code || '","layer":"layer","period":"2026S2","sc_x":' || sc_x || ',"sc_y":' || sc_y || ',"supercell_tiles":4,"zoom":19}}') AS identity FROM cells""",
     "q_changed_block_ids": "SELECT o_orderkey AS block_id FROM orders WHERE o_orderkey % 10 = 3 OR o_orderkey % 7 = 0",

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parcelwright.functions import geometry
 from parcelwright.functions import scalars as S
-from parcelwright.operators import catalog, grid, matching, orphans, records, runs, summary
+from parcelwright.operators import catalog, grid, matching, orphans, records, runs, summary, trace
 from parcelwright.plans import views
 from parcelwright.plans.oracles import ORACLES  # noqa: F401
 from parcelwright.plans.staging import stage
@@ -343,6 +344,33 @@ def representative_points(spark: SparkSession, d: str) -> DataFrame:
     return runs.representative_point(_shapes(spark), "polygon_id")
 
 
+@query
+def block_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """A18 A16"""
+    return runs.block_metrics(views.mask(spark), _shapes(spark))
+
+
+@query
+def traced(spark: SparkSession, d: str) -> DataFrame:
+    """Rings of shapes; their area is the pixels'"""
+    rings = trace.to_rings(_shapes(spark), ["polygon_id"])
+    return rings.select("polygon_id", geometry.area(F.col("rings")).alias("area"), geometry.bounds(F.col("rings")).alias("b")).select("polygon_id", "area", "b.minx", "b.miny", "b.maxx", "b.maxy")
+
+
+@query
+def role_rows(spark: SparkSession, d: str) -> DataFrame:
+    """S19"""
+    state = records.upsert(views.events(spark, d).withColumns({"source": F.lit("role"), "manzana": F.lit("010"), "predio": F.lpad(F.col("event_type"), 12, "0"), "attempts": F.lit(1), "error": F.lit(None).cast("string")}))
+    return records.wide(records.role_rows(state, "7"), ["api_k"]).select("comuna", "manzana", "predio", "rol", "_ok", "_status", "api_k")
+
+
+@query
+def region_positions(spark: SparkSession, d: str) -> DataFrame:
+    """P03 J16"""
+    chosen = catalog.chosen(views.communes(spark, d), ["3", "nation_8", "NATION_13", "x"])
+    return catalog.by_position(chosen, "europe", [1, 3]).select("code", "name", "position")
+
+
 @query
 def request_identities(spark: SparkSession, d: str) -> DataFrame:
     """T23 R08"""

@@ -54,6 +54,82 @@ def write_parquet(df: DataFrame, destination: str, expected_rows: int | None = N
     return n
 
 
+def write_geoparquet(df: DataFrame, destination: str, geometry: str = "geometry", max_rows: int = 2_000_000) -> int:
+    """K01 for one commune: a single file with the ``geo`` footer, from a frame whose ``geometry`` is WKB.
+
+    A commune's output is small (tens of thousands of rows); more than ``max_rows`` is an error, for which
+    ``write_parquet`` is the way. Rows and columns are read back before the file is put in place.
+    """
+    import io
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    spark = df.sparkSession
+    if (n := df.count()) > max_rows:
+        raise ValueError(f"{n} rows are too many for one file")
+    data = df.toArrow()
+    geo = {"version": "1.0.0", "primary_column": geometry, "columns": {geometry: {"encoding": "WKB", "geometry_types": ["Polygon"], "crs": None}}}
+    buffer = io.BytesIO()
+    pq.write_table(data.replace_schema_metadata({**(data.schema.metadata or {}), b"geo": json.dumps(geo).encode()}), buffer)
+    footer = pq.ParquetFile(pa.BufferReader(buffer.getvalue()))
+    if footer.metadata.num_rows != n or footer.schema_arrow.names != df.columns:
+        raise ValueError(f"{destination}: rows or columns differ as read back")
+    part = f"{destination}.part"
+    fs, p = _fs(spark, part)
+    out = fs.create(p, True)
+    out.write(bytearray(buffer.getvalue()))
+    out.close()
+    replace(spark, part, destination)
+    return n
+
+
+def copy(spark: SparkSession, source: str, destination: str) -> None:
+    """A file or folder beside its destination, then in place; a log folder copied so is a snapshot."""
+    source_fs, src = _fs(spark, source)
+    target_fs, part = _fs(spark, f"{destination}.part")
+    target_fs.mkdirs(part.getParent())
+    target_fs.delete(part, True)
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, src, target_fs, part, False, spark.sparkContext._jsc.hadoopConfiguration())
+    replace(spark, f"{destination}.part", destination)
+
+
+def archive(spark: SparkSession, root: str, stamp: str) -> list[str]:
+    """Move what lies in ``root`` to ``root/backups/stamp`` and drop unfinished files; returns the names that moved."""
+    fs, p = _fs(spark, root)
+    moved = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.endswith(".part"):
+            fs.delete(status.getPath(), True)
+        elif name != "backups":
+            _, target = _fs(spark, f"{root}/backups/{stamp}/{name}")
+            fs.mkdirs(target.getParent())
+            fs.rename(status.getPath(), target)
+            moved.append(name)
+    return sorted(moved)
+
+
+class Lock:
+    """Exclusive use of a destination while the block runs; a lock file that is there already is an error."""
+
+    def __init__(self, spark: SparkSession, destination: str):
+        self.fs, self.path = _fs(spark, f"{destination}.lock")
+
+    def __enter__(self) -> Lock:
+        if not self.fs.createNewFile(self.path):
+            raise BlockingIOError(f"{self.path.toString()} is held")
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.fs.delete(self.path, False)
+
+
+def finished(status: str | None, output_exists: bool, force: bool = False, rematch: bool = False) -> bool:
+    """Whether a commune needs no work; a run that was limited is never finished."""
+    return status in PUBLISHABLE and output_exists and not force and not rematch
+
+
 def write_text(spark: SparkSession, text: str, destination: str) -> None:
     """A small file, by way of a neighbour."""
     part = f"{destination}.part"
@@ -115,11 +191,6 @@ def publish(spark: SparkSession, status: str, artefacts: dict[str, str], destina
         if json.loads(old) == hashes and all(exists(spark, f"{destination}/{n}") for n in artefacts):
             return False
     for name, path in artefacts.items():
-        source_fs, source = _fs(spark, path)
-        target_fs, part = _fs(spark, f"{destination}/{name}.part")
-        target_fs.mkdirs(part.getParent())
-        target_fs.delete(part, True)
-        spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, source, target_fs, part, False, spark.sparkContext._jsc.hadoopConfiguration())
-        replace(spark, f"{destination}/{name}.part", f"{destination}/{name}")
+        copy(spark, path, f"{destination}/{name}")
     write_json(spark, hashes, record)
     return True

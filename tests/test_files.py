@@ -164,3 +164,27 @@ def test_attempt_stream(spark, tmp_path):
     assert {r["query_key"]: r["status"] for r in attempts.state(spark, str(tmp_path / "log")).collect()} == {"a": "error", "b": "ok", "c": "not_found"}
     assert [r[0] for r in attempts.retry(spark, str(tmp_path / "log")).collect()] == ["a"]
     assert attempts.failures(spark, str(tmp_path / "log")).first()["error"] == "why"
+
+
+def test_geoparquet_lock_and_archive(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from parcelwright.functions import geometry as G
+
+    box = G.box(*[F.lit(float(v)) for v in (0, 0, 2, 3)])
+    df = spark.range(2).select("id", F.unhex(G.wkb(box)).alias("geometry"))
+    target = str(tmp_path / "one.parquet")
+    assert files.write_geoparquet(df, target) == 2
+    meta = json.loads(pq.ParquetFile(target).schema_arrow.metadata[b"geo"])
+    assert meta["primary_column"] == "geometry" and spark.read.parquet(target).count() == 2
+    with pytest.raises(ValueError):
+        files.write_geoparquet(df, target, max_rows=1)
+    with files.Lock(spark, target), pytest.raises(BlockingIOError), files.Lock(spark, target):
+        pass
+    with files.Lock(spark, target):
+        pass
+    folder = tmp_path / "commune"
+    (folder / "old").mkdir(parents=True)
+    (folder / "x.part").write_text("")
+    assert files.archive(spark, str(folder), "t1") == ["old"] and sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == ["backups"]
+    assert files.finished("completa", True) and not files.finished("parcial_control", True) and not files.finished("completa", True, rematch=True)

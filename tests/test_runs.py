@@ -5,7 +5,7 @@ from collections import deque
 
 import pytest
 
-from parcelwright.operators import grid, runs
+from parcelwright.operators import grid, runs, trace
 from parcelwright.operators.graph import connected_components
 from parcelwright.plans.registry import LATTICE
 from parcelwright.settings import Settings
@@ -125,3 +125,34 @@ def test_wanted_cells_must_be_planned(spark):
     assert grid.select_cells(plan, first=0).count() == 3
     with pytest.raises(ValueError):
         grid.select_cells(plan, plan.selectExpr("sc_x + 1 as sc_x", "sc_y"))
+
+
+def even_odd(rings, x, y):
+    """Whether a point is inside rings by the even-odd rule."""
+    hits = 0
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+            hits += ax == bx and (ay > y) != (by > y) and ax > x
+    return hits % 2 == 1
+
+
+def test_traced_rings():
+    rng = random.Random(4)
+    for _ in range(60):
+        pixels = {(x, y) for x in range(9) for y in range(8) if rng.random() < 0.6}
+        for part in parts(pixels):
+            rows = {}
+            for x, y in sorted(part):
+                rows.setdefault(y, []).append(x)
+            found = []
+            for y, xs in rows.items():
+                start = xs[0]
+                for a, b in zip(xs, [*xs[1:], None], strict=True):
+                    if b != a + 1:
+                        found.append((y, start, a + 1))
+                        start = b
+            rings = trace.boundary(found)
+            assert sum(map(trace.signed_area, rings)) == len(part)
+            assert trace.signed_area(rings[0]) > 0 and all(trace.signed_area(r) < 0 for r in rings[1:])
+            inside = {(x, y) for x in range(-1, 10) for y in range(-1, 9) if even_odd(rings, x + 0.5, y + 0.5)}
+            assert inside == part
