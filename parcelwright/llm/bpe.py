@@ -1,11 +1,11 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Documents are read in blocks (a partition's consecutive documents, up to ``BLOCK_CHARS`` characters). Pass one splits
-each block into words and emits every distinct word of the block once; the words are dealt by word, so that each
-distinct word of the whole table is encoded once, and its ids and pieces go back to the blocks that hold it. Pass two
-emits the block's texts, compressed. Both meet by block, words first: the ids are joined back by position while the
-texts stream past, and ids are decoded through the vocabulary's id-to-piece table. What moves is one row per block and
-distinct word, not one per position; a task holds one block's words.
+each block into words and emits every distinct word of the block once, packed by the word's hash; dealt by that hash,
+each distinct word of the whole table is encoded once, and its ids go back to the blocks that hold it. Pass two emits
+the block's texts, compressed. Both meet by block, words first: the ids are joined back by position while the texts
+stream past, and ids are decoded through the vocabulary's id-to-piece table. What moves is each block's distinct words,
+not one row per position; a task holds one block's words.
 
 A text is cut at the vocabulary's special strings, normalised (NFC, white space to one space, lower case) and split by
 the vocabulary's pattern. Texts within the Latin blocks are split by a regular expression of our own that equals the
@@ -19,6 +19,7 @@ import json
 import os
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,9 +30,11 @@ from pyspark.sql import functions as F
 
 BLOCK_CHARS = 40_000_000
 PAYLOAD_CHARS = 2_000_000
-_FIELDS = ("block", "kind", "word", "ids", "payload")
-_TYPES = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.binary())
-_SCHEMA = "block long, kind int, word string, ids string, payload binary"
+#: A task forgets its encoded words beyond so many.
+CACHED_WORDS = 1_000_000
+_FIELDS = ("block", "kind", "payload", "ids")
+_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+_SCHEMA = "block long, kind int, payload binary, ids binary"
 
 
 def _latin() -> str:
@@ -119,16 +122,27 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None
             yield block, doc_id, text
 
 
-def _distinct_words(content) -> object:
+def _pack(strings: list[str], packer: zstandard.ZstdCompressor) -> bytes:
+    """Strings without line ends, which words and ids are."""
+    return packer.compress("\n".join(strings).encode("utf-8", "surrogatepass"))
+
+
+def _unpack(payload: bytes, packer: zstandard.ZstdDecompressor) -> list[str]:
+    return packer.decompress(payload).decode("utf-8", "surrogatepass").split("\n")
+
+
+def _distinct_words(content, parts: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(content.value)
+        packer = zstandard.ZstdCompressor(level=3)
         current, seen = None, set()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = list(seen)
-            for i in range(0, len(words), 50_000):
-                part = words[i : i + 50_000]
-                yield pa.RecordBatch.from_pydict({"word": pa.array(part, pa.string()), "block": pa.array([current] * len(part), pa.int64())})
+            dealt: dict[int, list[str]] = {}
+            for w in sorted(seen):
+                dealt.setdefault(zlib.crc32(w.encode("utf-8", "surrogatepass")) % parts, []).append(w)
+            if dealt:
+                yield pa.RecordBatch.from_pydict({"hash": pa.array(list(dealt), pa.int32()), "block": pa.array([current] * len(dealt), pa.int64()), "words": pa.array([_pack(w, packer) for w in dealt.values()], pa.binary())})
 
         for block, _, text in _blocks(batches):
             if block != current:
@@ -141,19 +155,20 @@ def _distinct_words(content) -> object:
 
 
 def _encode_words(content) -> object:
-    """Rows word, block, sorted by word: each word is encoded when it first comes."""
+    """Packed words in, the same with their ids out; a word is encoded when the task first sees it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(content.value)
-        last, known = None, ""
+        packer, unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        table: dict[str, str] = {}
         for batch in batches:
-            words, blocks = batch.column("word").to_pylist(), batch.column("block").to_pylist()
-            new = [w for w in dict.fromkeys(words) if w != last]
-            table = {last: known} if last is not None else {}
-            table.update(zip(new, vocabulary.encode(new), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([0] * len(words), pa.int32()), pa.array(words, pa.string()), pa.array([table[w] for w in words], pa.string()), pa.nulls(len(words), pa.binary())], names=list(_FIELDS))
-            last = words[-1] if words else last
-            known = table.get(last, known)
+            for block, payload in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                words = _unpack(payload, unpacker)
+                if len(table) > CACHED_WORDS:
+                    table.clear()
+                new = [w for w in words if w not in table]
+                table.update(zip(new, vocabulary.encode(new), strict=True))
+                yield _emit([(block, 0, payload, _pack([table[w] for w in words], packer))])
 
     return run
 
@@ -164,7 +179,7 @@ def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         if held:
-            yield _emit([(current, 1, None, None, packer.compress(json.dumps(held, ensure_ascii=False).encode("utf-8", "surrogatepass")))])
+            yield _emit([(current, 1, packer.compress(json.dumps(held, ensure_ascii=False).encode("utf-8", "surrogatepass")), None)])
 
     for block, doc_id, text in _blocks(batches):
         if block != current or size > PAYLOAD_CHARS:
@@ -186,11 +201,11 @@ def _join_back(content, keep_text: bool) -> object:
         current, ids = None, {}
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in _FIELDS)
-            for block, kind, word, word_ids, payload in zip(*columns, strict=True):
+            for block, kind, payload, word_ids in zip(*columns, strict=True):
                 if block != current:
                     current, ids = block, {}
                 if kind == 0:
-                    ids[word] = word_ids
+                    ids.update(zip(_unpack(payload, packer), _unpack(word_ids, packer), strict=True))
                     continue
                 out = []
                 for doc_id, text in json.loads(packer.decompress(payload).decode("utf-8", "surrogatepass")):
@@ -218,7 +233,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, keep_text: bool = Fal
     content = spark.sparkContext.broadcast(tokenizer_json)
     rows = docs.select("doc_id", "text", F.spark_partition_id().alias("part"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = rows.mapInArrow(_distinct_words(content), "word string, block long").repartition(n, "word").sortWithinPartitions("word")
+    words = rows.mapInArrow(_distinct_words(content, 4 * n), "hash int, block long, words binary").repartition(n, "hash").sortWithinPartitions("hash")
     table = words.mapInArrow(_encode_words(content), _SCHEMA)
     both = table.unionByName(rows.mapInArrow(_payloads, _SCHEMA)).repartition(n, "block").sortWithinPartitions("block", "kind")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_text else "")
