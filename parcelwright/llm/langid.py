@@ -24,6 +24,7 @@ from parcelwright.plans.staging import stage
 ORDER = 4
 LETTERS = re.compile(r"[^\W\d_]+")
 _MULTIPLIER, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
+SALTS = 64
 #: A worker forgets its scored words beyond so many.
 CACHED_WORDS = 300_000
 #: Words of a batch whose scores are summed at once.
@@ -224,10 +225,13 @@ def fit(labelled: DataFrame, max_docs: int = 400, reject_quantile: float = 0.999
     Without a labelled row the model has no language, and every prediction is ``und``.
     """
     spark = labelled.sparkSession
-    order = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    chosen = labelled.where("lang is not null and text is not null").select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_docs)
+    known = labelled.where("lang is not null and text is not null")
+    # the smallest hashes of each of SALTS parts first, so that no task sees more than SALTS * max_docs rows of a language
+    keyed = known.select("doc_id", "lang", F.md5(F.col("doc_id").cast("string")).alias("key"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    first = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("key", "doc_id"))).where(F.col("rank") <= max_docs)
+    chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))).where(F.col("rank") <= max_docs)
     chosen = stage(chosen.select(F.col("doc_id").alias("_id"), "rank"), "langid-chosen")
-    texts = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     texts = stage(texts.select("doc_id", "lang", "text", (F.col("rank") % 5 == 0).alias("held")), "langid-sample")
     counted = texts.where("not held").select("lang", "text").mapInArrow(_count, "lang string, n int, gram long, context long, suffix long, count long")
     c = counted.groupBy("lang", "n", "gram", "context", "suffix").agg(F.sum("count").alias("count")).toPandas()
