@@ -37,8 +37,8 @@ def to_ascii(text: Column) -> Column:
     expanded = text
     for c, plain in more:
         expanded = F.replace(expanded, F.lit(c), F.lit(plain))
-    text = F.when(text.rlike(several), expanded).otherwise(text)
-    return F.regexp_replace(F.translate(text, one_from, one_to), r"[^\x00-\x7F]", "")
+    spelt = F.when(text.rlike(several), expanded).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spelt, one_from, one_to), r"[^\x00-\x7F]", "")).otherwise(text)
 
 
 _ASCII_BLANK = r"[\x09-\x0D\x1C-\x20]+"

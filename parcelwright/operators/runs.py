@@ -59,8 +59,10 @@ def to_runs(mask: DataFrame, by: str = "block_id") -> DataFrame:
 
 
 def _run_ids(runs: DataFrame, by: str) -> DataFrame:
-    """Run ids that fit in a long: block (24 bits), row (20), start (20), each taken from the row's own values."""
-    return runs.withColumn("run", F.shiftleft(F.col(by).cast("long"), 40) + F.shiftleft(F.col("gy").cast("long"), 20) + F.col("x0"))
+    """Run ids that fit in a long, in order of block, row and start: block (23 bits), then row and start (20 each) from the block's own corner."""
+    whole = Window.partitionBy(by)
+    row, start = F.col("gy") - F.min("gy").over(whole), F.col("x0") - F.min("x0").over(whole)
+    return runs.withColumn("run", F.shiftleft(F.col(by).cast("long"), 40) + F.shiftleft(row.cast("long"), 20) + start)
 
 
 def components(runs: DataFrame, by: str = "block_id") -> DataFrame:

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 STATUSES = ("ok", "not_found", "error")
 
 
+def _side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row frames as one row, without a join: their union, then the only value of each column."""
+    both = rows[0]
+    for r in rows[1:]:
+        both = both.unionByName(r, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def status_counts(results: DataFrame) -> DataFrame:
     """Rows by status."""
     return results.groupBy("status").agg(F.count("*").alias("n"))
@@ -29,8 +37,7 @@ def final_summary(output: DataFrame) -> DataFrame:
     polygons = rows.where(with_shape).groupBy("_poly_idx").agg(F.bool_or(F.col("role").isNotNull()).alias("has")).agg(F.count("*").alias("polygons_total"), F.count_if("has").alias("polygons_with_role"))
     roles = rows.where("role is not null").groupBy("role").agg(F.bool_or(with_shape).alias("shaped")).agg(F.count("*").alias("unique_roles_total"), F.count_if("shaped").alias("unique_roles_with_geometry"))
     totals = rows.agg(F.count("*").alias("rows_total"), F.count_if(with_shape).alias("rows_with_geometry"))
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    s = one(totals).join(one(polygons), "_one").join(one(roles), "_one").drop("_one")
+    s = _side_by_side(totals, polygons, roles)
     share = lambda a, b: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b) * 100, 3)).otherwise(0.0)
     return s.select(
         "rows_total", "rows_with_geometry", "polygons_total", "polygons_with_role", (F.col("polygons_total") - F.col("polygons_with_role")).alias("polygons_without_role"),
@@ -53,7 +60,7 @@ def observations(output: DataFrame, status: DataFrame, limited: bool = False, un
         kind("poligono_sin_rol").alias("unmatched_polygons"), F.count_if(F.col("pol_size_class") == "large_component").alias("large_components"),
     )
     api = status_row(status).select(F.col("error").alias("api_error"), F.col("not_found").alias("api_not_found"))
-    out = counted.withColumn("_one", F.lit(1)).join(api.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    out = _side_by_side(counted, api)
     out = out.withColumns({"invalid_geometries": F.lit(0).cast("long"), "unexpected_api_periods": F.lit(unexpected_periods).cast("long")})
     clean = None
     for c in out.columns:
@@ -64,6 +71,6 @@ def observations(output: DataFrame, status: DataFrame, limited: bool = False, un
 def vectorization_metrics(merged: DataFrame, blocks: DataFrame) -> DataFrame:
     """``merged`` has pol_size_class; ``blocks`` has fill_pixels and pixels."""
     ratio = F.col("fill_pixels") / F.col("pixels")
-    a = merged.agg(F.count("*").alias("polygons"), F.count_if(F.col("pol_size_class") == "large_component").alias("large")).withColumn("_one", F.lit(1))
-    b = blocks.agg(F.count("*").alias("blocks"), F.sum("fill_pixels").alias("fill_pixels"), F.min(ratio).alias("min_fill_ratio"), F.max(ratio).alias("max_fill_ratio")).withColumn("_one", F.lit(1))
-    return a.join(b, "_one").drop("_one")
+    a = merged.agg(F.count("*").alias("polygons"), F.count_if(F.col("pol_size_class") == "large_component").alias("large"))
+    b = blocks.agg(F.count("*").alias("blocks"), F.sum("fill_pixels").alias("fill_pixels"), F.min(ratio).alias("min_fill_ratio"), F.max(ratio).alias("max_fill_ratio"))
+    return _side_by_side(a, b)

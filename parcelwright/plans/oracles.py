@@ -93,7 +93,8 @@ _MASK = """px AS (
   WHERE ((i % 64) * (i % 64) + 3 * (i // 64) * (i // 64) + (i % 64) * (i // 64)) % 7 < 4
     AND i % 64 >= 16 * c.c AND i % 64 < 16 * c.c + 32 AND i // 64 >= 16 * b.r AND i // 64 < 16 * b.r + 32),
 isl AS (SELECT *, x - row_number() OVER (PARTITION BY block_id, y ORDER BY x) AS island FROM px),
-runs AS (SELECT block_id, y AS gy, min(x) AS x0, max(x) + 1 AS x1, block_id * 1099511627776 + y * 1048576 + min(x) AS run FROM isl GROUP BY block_id, y, island)"""
+bare AS (SELECT block_id, y AS gy, min(x) AS x0, max(x) + 1 AS x1 FROM isl GROUP BY block_id, y, island),
+runs AS (SELECT *, block_id * 1099511627776 + (gy - min(gy) OVER (PARTITION BY block_id)) * 1048576 + x0 - min(x0) OVER (PARTITION BY block_id) AS run FROM bare)"""
 
 _SHAPES = f"""{_MASK},
 edge AS (

@@ -40,7 +40,8 @@ def as_sets(df, key):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_and_holes(spark, seed):
     rng = random.Random(seed)
-    pixels = {(b, x, y): rng.random() < 0.6 for b in range(2) for x in range(14) for y in range(12)}
+    east, south = (40_000_000, 70_000_000) if seed == 2 else (0, 0)  # where the lattice of zoom 19 lies
+    pixels = {(b, x + east, y + south): rng.random() < 0.6 for b in range(2) for x in range(14) for y in range(12)}
     mask = spark.createDataFrame([(b, x, y, f) for (b, x, y), f in pixels.items()], MASK)
     shaped = runs.components(runs.to_runs(mask))
     found = as_sets(shaped, "polygon_id")
