@@ -17,7 +17,8 @@ def with_added(communes: DataFrame) -> DataFrame:
     """``code, name, region`` with the synthetic commune, if it is absent, by normalised region and name."""
     spark = communes.sparkSession
     extra = spark.range(1).select(*[F.lit(v).alias(n) for v, n in zip(ADDED, ("code", "name", "region"), strict=True)])
-    out = communes.select("code", "name", "region").unionByName(extra.join(communes, "code", "left_anti"))
+    both = communes.select("code", "name", "region", F.lit(0).alias("_rank")).unionByName(extra.withColumn("_rank", F.lit(1)))
+    out = both.where(F.col("code").isNotNull()).withColumn("_least", F.min("_rank").over(Window.partitionBy("code"))).where("_rank = _least").drop("_rank", "_least")
     return out.orderBy(normalize_name(F.col("region")), normalize_name(F.col("name")))
 
 
