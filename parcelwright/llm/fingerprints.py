@@ -15,6 +15,7 @@ paragraphs. Null counts as the empty text, which is one empty paragraph.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,7 @@ SHIFTS, LANE_BITS, HASHES = 20, 20, 2
 LANES = SHIFTS * 3 * HASHES
 _ONES = (1 << 2 * LANE_BITS) | (1 << LANE_BITS) | 1
 _MOD = (1 << 3 * LANE_BITS) - 1
+SEGMENTS, MAX_RANGES = 1024, 1_000_000
 #: A segment ends at white space after one of these characters; about every third word ends in one.
 SEGMENT_END = r"(?<=[.,;:!?|%#&*$dnry。])\s+"
 
@@ -105,28 +107,47 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a["exact"] == b["exact"], 1.0).otherwise(near)
 
 
+def _rank(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are below a value: first by every k-th bound, then among the k that follow."""
+    k = math.isqrt(len(bounds)) + 1
+    as_array = lambda b: F.array(*[F.lit(x) for x in b]).cast("array<bigint>")
+    coarse = F.size(F.filter(as_array(bounds[k - 1 :: k]), lambda x: x < value)) * k
+    return let(coarse, lambda c: c + F.size(F.filter(F.slice(as_array(bounds), c + 1, F.lit(k)), lambda x: x < value)))
+
+
+def _ranges(docs: DataFrame) -> Column:
+    """The range of a row's doc_id: quantiles cut the ids into SEGMENTS, each cut evenly, four ranges to a shuffle partition in all."""
+    wanted = min(MAX_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = min(wanted, SEGMENTS)
+    found = docs.select(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10000).alias("cuts")).first()
+    if found["lo"] is None:
+        return F.lit(0).cast("long")
+    cuts = sorted({c for c in found["cuts"] if c < found["hi"]}) if n > 1 else []
+    lows, highs = [found["lo"], *(c + 1 for c in cuts)], [*cuts, found["hi"]]
+    parts = -(-wanted // len(lows))
+    widths = [max(1, -(-(high - low + 1) // parts)) for low, high in zip(lows, highs, strict=True)]
+    at = lambda values, i: F.get(F.array(*[F.lit(float(v)) for v in values]), i)
+    inside = lambda i: F.greatest(F.lit(0), F.least(F.lit(parts - 1), F.floor((F.col("doc_id").cast("double") - at(lows, i)) / at(widths, i)))).cast("long")
+    return F.coalesce(let(_rank(F.col("doc_id"), cuts), lambda i: i * parts + inside(i)), F.lit(0)).cast("long")
+
+
 def with_next(docs: DataFrame, payload: list[str]) -> DataFrame:
     """Add ``next_<column>`` of the next row by ascending doc_id (ties by text), the first following the last.
 
-    Rows are dealt once into ranges of doc_id of about equal counts, as many as there are shuffle partitions; the first
-    row of each range is also sent to the range before it, so no window spans the table. Only the range bounds, a fixed
-    number, reach the driver.
+    Rows are dealt once into ranges of doc_id; the first row of each range is also sent to the range before it, so no
+    window spans the table. The driver sees SEGMENTS quantiles; the table of first rows, broadcast, has a row per range
+    and at most MAX_RANGES.
     """
-    spark = docs.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    at = [i / n for i in range(1, n)]
-    bounds = docs.select(F.percentile_approx("doc_id", at or [0.5], 10000)).first()[0] or []
-    bounds = sorted(set(bounds)) if n > 1 else []
-    bounds_col = F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds_col, lambda x: x < F.col("doc_id"))))
-    dealt = docs.withColumn("_range", bucket)
-    firsts = sorted((r["_range"], r["first"]) for r in docs.select("doc_id").withColumn("_range", bucket).groupBy("_range").agg(F.min("doc_id").alias("first"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).select("_range", F.when(F.col("nulls") > 0, None).otherwise(F.col("first")).alias("first")).collect())
-    extra = F.array().cast("array<struct<b:int,s:int>>")
-    for i, (_, first) in enumerate(firsts):
-        to, after = (firsts[i - 1][0], 1) if i else (firsts[-1][0], 2)
-        extra = F.when(F.col("doc_id").eqNullSafe(F.lit(first).cast("long")), F.array(F.struct(F.lit(to).alias("b"), F.lit(after).alias("s")))).otherwise(extra)
-    place = F.concat(F.array(F.struct(F.col("_range").alias("b"), F.lit(0).alias("s"))), extra)
-    sent = dealt.withColumn("_place", F.explode(place)).withColumn("_b", F.col("_place.b")).withColumn("_s", F.col("_place.s")).drop("_place", "_range")
+    ranges = _ranges(docs)
+    dealt = docs.withColumn("_range", ranges)
+    firsts = docs.select("doc_id").withColumn("_range", ranges).groupBy("_range").agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
+    order = Window.orderBy("_range")  # one short row per range
+    before = F.lag("_range").over(order)
+    firsts = firsts.select(F.when(F.col("nulls") == 0, F.col("low")).alias("_first"), F.coalesce(before, F.max("_range").over(Window.partitionBy())).alias("_to"), F.when(before.isNull(), 2).otherwise(1).alias("_after"))
+    sent = dealt.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("_first")), "left")
+    own = F.struct(F.col("_range").alias("b"), F.lit(0).alias("s"))
+    place = F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("_to").alias("b"), F.col("_after").alias("s"))))
+    sent = sent.withColumn("_place", F.explode(place)).withColumns({"_b": F.col("_place.b"), "_s": F.col("_place.s")}).drop("_place", "_range", "_first", "_to", "_after")
     order = Window.partitionBy("_b").orderBy("_s", F.col("doc_id").asc_nulls_first(), F.coalesce(F.col("text"), F.lit("")))
     following = sent.withColumns({f"next_{c}": F.lead(c).over(order) for c in payload})
     return following.where("_s = 0").drop("_b", "_s")
