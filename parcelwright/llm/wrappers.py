@@ -63,10 +63,11 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("sig", "tag", "children", "texts", "chrome", "inside", "index", "commentary")
+    __slots__ = ("sig", "tag", "children", "texts", "chrome", "inside", "index", "commentary", "weak")
 
-    def __init__(self, sig: str, tag: str, chrome: bool, inside: bool, commentary: bool):
+    def __init__(self, sig: str, tag: str, chrome: bool, inside: bool, commentary: bool, weak: bool = False):
         self.sig, self.tag, self.chrome, self.inside, self.commentary = sig, tag, chrome, inside, commentary
+        self.weak = weak  # in an article that lies in a part which is no content by its name, such as a list of related ones
         self.children: list[Node] = []
         self.texts: list[str] = []
         self.index = -1
@@ -94,9 +95,9 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
     header = tag == "header" or "header" in named and tag != "article"
     inside = parent.inside or tag in CONTENT or role in ("main", "article")
     chrome = own or header and not parent.inside
-    if inside and not parent.inside:  # the article itself: wide containers around it do not count
-        return Node(sig, tag, parent.commentary or parent.tag in ("aside", "nav", "footer") or commentary, inside, commentary)
-    return Node(sig, tag, parent.chrome or chrome, inside, commentary)
+    if inside and not parent.inside:  # the article itself
+        return Node(sig, tag, parent.commentary or parent.tag in ("aside", "nav", "footer") or commentary, inside, commentary, parent.chrome)
+    return Node(sig, tag, parent.chrome or chrome, inside, commentary, parent.weak)
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
@@ -318,8 +319,10 @@ def _slot_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(page: str, wrapper: str | None, constant: frozenset[int]) -> str:
     """The main text of a page, given its host's wrapper and the wrapper nodes whose text is constant."""
     root, blocks = parse(page)
-    if any(n.inside and not n.chrome for n, _, _ in blocks):
-        return "\n".join(t for n, t, _ in blocks if n.inside and not n.chrome)
+    article = [(n, t) for n, t, _ in blocks if n.inside and not n.chrome]
+    strong = [(n, t) for n, t in article if not n.weak]
+    if article:
+        return "\n".join(t for _, t in strong or article)
     to = _aligned(wrapper, json.dumps(shape(root))) if wrapper else {}
     plain = [(n, t, links) for n, t, links in blocks if not n.chrome]
     varying = [(n, t) for n, t, links in plain if to.get(n.index) not in constant and links < 0.8]

@@ -357,6 +357,14 @@ def test_extraction_without_article(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGE)).count() == 0
 
 
+def test_articles_in_named_parts():
+    related = '<div class="related"><article><p>other</p></article></div>'
+    wide = '<div class="page with-sidebar"><article><header><h1>T</h1></header><p>own</p><div class="share">s</div><footer>f</footer></article></div>'
+    assert wrappers.main_text(f"<body><main><p>own</p></main>{related}</body>", None, frozenset()) == "own"
+    assert wrappers.main_text(wide, None, frozenset()) == "T\nown"
+    assert wrappers.main_text(f"{wide}<section id=comments><article class=comment><p>nice</p></article></section>", None, frozenset()) == "T\nown"
+
+
 def brute_match(a, b):
     """Size of the largest order-preserving alignment of two trees, without memory."""
     if a[0] != b[0]:
