@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwright.plans.staging import stage
+from parcelwright.plans.staging import release, stage
 
 MAX_ROUNDS = 60
 
@@ -38,7 +38,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e = stage(e, "edges")
     state = None
     for _ in range(MAX_ROUNDS):
-        e = stage(_small_star(_large_star(e)), "edges")
+        before, e = e, stage(_small_star(_large_star(e)), "edges")
+        release(before)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

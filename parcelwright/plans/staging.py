@@ -34,17 +34,28 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(staged: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more, such as an iteration's input once its output is written."""
+    if path := getattr(staged, "_staged_path", None):
+        _delete(staged.sparkSession, path)
+        _written.remove((staged.sparkSession, path))
 
 
 def drop_staged() -> None:
     """Delete what ``stage`` has written; frames that read it must not be used afterwards."""
     while _written:
-        spark, path = _written.pop()
         try:
-            jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+            _delete(*_written.pop())
         except Exception:  # the session may have ended before us
             continue
 
