@@ -32,10 +32,12 @@ BITS = 16
 BROADCAST_BYTES = 16_000_000
 #: Like siblings beyond so many are one node, whatever their element.
 MAX_LIKE_SIBLINGS = 8
+MAX_DEPTH = 100
 
+#: Quantifiers are bounded, so that quotes or tags that are never closed can't make a long page quadratic.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<broken>[a-zA-Z][^\s/>]*)[^>]*>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]{0,20000}>|</(?P<close>[a-zA-Z][^\s/>]{0,100})[^>]{0,20000}>"
+    r"|<(?P<open>[a-zA-Z][^\s/>]{0,100})(?P<attrs>(?:[^>\"']{1,20000}+|\"[^\"]{0,20000}\"|'[^']{0,20000}'){0,200}+)>|<(?P<broken>[a-zA-Z][^\s/>]{0,100})[^>]{0,20000}>",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -175,7 +177,9 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             parent = stack[-1]
             node = _element(tag, m["attrs"] or "", parent)
             like = [c for c in parent.children[-MAX_LIKE_SIBLINGS:] if c.sig == node.sig]
-            if like and parent.children[-1].sig == node.sig and (tag in RUNS or len(like) == MAX_LIKE_SIBLINGS):
+            if len(stack) > MAX_DEPTH:
+                pass  # so deep, an element is no node of the tree; its text stays
+            elif like and parent.children[-1].sig == node.sig and (tag in RUNS or len(like) == MAX_LIKE_SIBLINGS):
                 node = parent.children[-1]
             else:
                 parent.children.append(node)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import random
 import re
 
@@ -357,6 +358,17 @@ def test_extraction_without_article(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGE)).count() == 0
 
 
+def test_never_closed():
+    import time
+
+    begin = time.time()
+    for piece in ('<a title="x>', "<a ", "<!", "</p ", "<div><p>", "<!-- ", "<script>"):
+        page = "<article><p>kept</p>" + piece * 20_000
+        assert wrappers.main_text(page, json.dumps(wrappers.shape(wrappers.parse(page)[0])), frozenset()).startswith("kept")
+    assert time.time() - begin < 60
+    assert wrappers.main_text("<article><p title='a > b' data-x=\"<i>\">kept</p><!-- never closed", None, frozenset()) == "kept"
+
+
 def test_articles_in_named_parts():
     related = '<div class="related"><article><p>other</p></article></div>'
     wide = '<div class="page with-sidebar"><article><header><h1>T</h1></header><p>own</p><div class="share">s</div><footer>f</footer></article></div>'
