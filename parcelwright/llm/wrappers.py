@@ -2,10 +2,12 @@
 
 A page becomes a tree of its block elements; runs of like list items and paragraphs are one node. For every host, the
 trees of up to ``REFERENCES`` pages (those with the smallest hashes of page_id) are aligned by simple tree matching and
-folded into one wrapper tree. Every page is then aligned to its host's wrapper, and for each wrapper node 16 sums over
-all pages tell whether its text is constant: where one text prevails, every bit of the texts' hashes is nearly always 0
-or nearly always 1. Constant nodes are template; varying slots are content, unless their element is by its nature none
-(menus, forms, asides, comments, ...). If a page marks its article, content is what lies inside it.
+folded into one wrapper tree. Every page is then aligned to its host's wrapper, and for each slot 16 sums over all pages
+tell whether its text is constant: where one text prevails, every bit of the texts' hashes is nearly always 0 or nearly
+always 1. A slot is a wrapper node, or one element of a run, counted from its first or from its last. Constant slots are
+template, inside an article too; varying ones are content, unless their element is by its nature none (menus, forms,
+asides, comments, ...). An article that a page marks is evidence where the pages of a host are too few to tell: outside
+it, only nodes that are seen to vary are content. Where all is constant, as on copies of one page, nothing is dropped.
 
 The sums merge across pages, so a host with a third of all pages is no different from the others.
 """
@@ -65,13 +67,15 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("sig", "tag", "children", "texts", "chrome", "inside", "index", "commentary", "weak")
+    __slots__ = ("sig", "tag", "children", "texts", "chrome", "inside", "index", "commentary", "weak", "elements", "of")
 
     def __init__(self, sig: str, tag: str, chrome: bool, inside: bool, commentary: bool, weak: bool = False):
         self.sig, self.tag, self.chrome, self.inside, self.commentary = sig, tag, chrome, inside, commentary
         self.weak = weak  # in an article that lies in a part which is no content by its name, such as a list of related ones
         self.children: list[Node] = []
         self.texts: list[str] = []
+        self.elements = 0  # so many have been opened that are this node
+        self.of: list[int] = []  # the element of each text
         self.index = -1
 
 
@@ -118,6 +122,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             if text:
                 node = stack[-1]
                 node.texts.append(text)
+                node.of.append(node.elements)
                 blocks.append((node, text, link_chars / len(text)))
             buffer.clear()
         link_chars = 0
@@ -183,6 +188,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
                 node = parent.children[-1]
             else:
                 parent.children.append(node)
+            node.elements += 1
             stack.append(node)
         elif tag == "a":
             in_link += 1
@@ -306,37 +312,65 @@ def _induce(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(wrapper)]})
 
 
+def slots_of(node: Node) -> Iterator[tuple[int, str]]:
+    """Place and text of a node's slots: 0 is the whole node; of a run, 1 is the first element with text and -1 the last."""
+    yield 0, "\n".join(node.texts)
+    if node.tag in RUNS:
+        elements: dict[int, list[str]] = {}
+        for e, t in zip(node.of, node.texts, strict=True):
+            elements.setdefault(e, []).append(t)
+        for i, texts in enumerate(elements.values()):
+            text = "\n".join(texts)
+            yield i + 1, text
+            yield i - len(elements), text
+
+
 def _slot_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, nodes, hashes = [], [], []
+        hosts, nodes, places, hashes = [], [], [], []
         for host, page, wrapper in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper")), strict=True):
             root, blocks = parse(page or "")
             to = _aligned(wrapper, json.dumps(shape(root)))
             for node in {id(n): n for n, _, _ in blocks}.values():
                 if node.index in to:
-                    hosts.append(host)
-                    nodes.append(to[node.index])
-                    hashes.append(int.from_bytes(hashlib.blake2b("\n".join(node.texts).encode("utf-8", "surrogatepass"), digest_size=4).digest(), "big"))
-        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "node": pa.array(nodes, pa.int32()), "hash": pa.array(hashes, pa.int64())})
+                    for place, text in slots_of(node):
+                        hosts.append(host)
+                        nodes.append(to[node.index])
+                        places.append(place)
+                        hashes.append(int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "big"))
+        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "node": pa.array(nodes, pa.int32()), "place": pa.array(places, pa.int32()), "hash": pa.array(hashes, pa.int64())})
 
 
-def main_text(page: str, wrapper: str | None, constant: frozenset[int]) -> str:
-    """The main text of a page, given its host's wrapper and the wrapper nodes whose text is constant."""
+def main_text(page: str, wrapper: str | None, constant: frozenset[tuple[int, int]], varying: frozenset[int] = frozenset()) -> str:
+    """The main text of a page, given its host's wrapper, the slots (node, place) whose text is constant and the nodes
+    that are seen to vary."""
     root, blocks = parse(page)
-    article = [(n, t) for n, t, _ in blocks if n.inside and not n.chrome]
-    strong = [(n, t) for n, t in article if not n.weak]
-    if article:
-        return "\n".join(t for _, t in strong or article)
     to = _aligned(wrapper, json.dumps(shape(root))) if wrapper else {}
-    plain = [(n, t, links) for n, t, links in blocks if not n.chrome]
-    varying = [(n, t) for n, t, links in plain if to.get(n.index) not in constant and links < 0.8]
-    return "\n".join(t for _, t in varying) if varying else "\n".join(t for _, t, _ in plain)
+    passed: dict[int, int] = {}
+    ranks: dict[int, dict[int, int]] = {}
+    rows = []
+    for n, t, links in blocks:
+        at = passed[id(n)] = passed.get(id(n), -1) + 1
+        if not n.chrome:
+            if id(n) not in ranks:
+                ranks[id(n)] = {e: i for i, e in enumerate(dict.fromkeys(n.of))}
+            i = ranks[id(n)][n.of[at]]
+            places = (0, i + 1, i - len(ranks[id(n)])) if n.tag in RUNS else (0,)
+            rows.append((n, t, links, any((to.get(n.index), place) in constant for place in places)))
+    article = [r for r in rows if r[0].inside]
+    if article:
+        strong = any(not n.weak for n, *_ in article)
+        marked = [r for r in rows if (not r[0].weak or not strong if r[0].inside else to.get(r[0].index) in varying and r[2] < 0.8)]
+        kept = [t for _, t, _, template in marked if not template]
+        return "\n".join(kept or [t for n, t, *_ in marked if n.inside])
+    kept = [t for _, t, links, template in rows if not template and links < 0.8]
+    return "\n".join(kept or [t for _, t, *_ in rows])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("html", "wrapper", "constant"))
-        texts = [main_text(h or "", w, frozenset(c or ())) for h, w, c in zip(*columns, strict=True)]
+        columns = (batch.column(c).to_pylist() for c in ("html", "wrapper", "constant", "varying"))
+        texts = [main_text(h or "", w, frozenset((x["node"], x["place"]) for x in c or ()), frozenset(v or ())) for h, w, c, v in zip(*columns, strict=True)]
         yield pa.RecordBatch.from_pydict({
             "page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "host": batch.column("host"),
         })
@@ -353,20 +387,27 @@ def _with_wrappers(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
 
 
 def learn(pages: DataFrame, min_pages: int = 3, agreement: float = 0.9) -> DataFrame:
-    """``host, wrapper, constant`` for every host; ``pages`` has page_id, host, html."""
+    """``host, wrapper, constant, varying`` for every host; ``pages`` has page_id, host, html.
+
+    An element's place counts where most pages that have its run have it too, so that a few long pages that are copies
+    of each other don't make their ends template.
+    """
     order = Window.partitionBy("host").orderBy(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), "page_id")
     chosen = pages.select("page_id", "host").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= REFERENCES)
     chosen = stage(chosen.select(F.col("page_id").alias("_id"), F.col("host").alias("_host"), "rank"), "wrapper-pages")
     references = pages.join(chosen, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("host") == F.col("_host"))).select("host", "rank", "html")
     references = references.dropDuplicates(["host", "rank"])
     wrappers = stage(references.groupBy("host").applyInPandas(_induce, "host string, wrapper string"), "wrappers")
-    slots = _with_wrappers(pages.select("page_id", "host", "html"), wrappers).select("host", "html", "wrapper").mapInArrow(_slot_hashes, "host string, node int, hash long")
-    sums = slots.groupBy("host", "node").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("hash", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(BITS)])
+    slots = _with_wrappers(pages.select("page_id", "host", "html"), wrappers).select("host", "html", "wrapper").mapInArrow(_slot_hashes, "host string, node int, place int, hash long")
+    sums = slots.groupBy("host", "node", "place").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("hash", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(BITS)])
     steady = F.lit(True)
     for i in range(BITS):
         steady = steady & ((F.col(f"b{i}") >= F.col("n") * agreement) | (F.col(f"b{i}") <= F.col("n") * (1 - agreement)))
-    constant = sums.where((F.col("n") >= min_pages) & steady).groupBy("host").agg(F.collect_list("node").alias("constant"))
-    return stage(wrappers.join(constant, "host", "left"), "wrappers-labelled")
+    judged = stage(sums.where(F.col("n") >= min_pages).select("host", "node", "place", "n", steady.alias("steady")), "slots")
+    whole = judged.where("place = 0").select("host", "node", F.col("n").alias("pages"))
+    often = judged.join(whole, ["host", "node"]).where(F.col("n") * 2 > F.col("pages"))
+    labels = often.groupBy("host").agg(F.collect_list(F.when(F.col("steady"), F.struct("node", "place"))).alias("constant"), F.collect_list(F.when((F.col("place") == 0) & ~F.col("steady"), F.col("node"))).alias("varying"))
+    return stage(wrappers.join(labels, "host", "left"), "wrappers-labelled")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -378,5 +419,5 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
     labelled = learn(rows)
-    joined = _with_wrappers(rows, labelled).select("page_id", "url", "html", "host", "wrapper", "constant")
+    joined = _with_wrappers(rows, labelled).select("page_id", "url", "html", "host", "wrapper", "constant", "varying")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long, host string")

@@ -358,6 +358,17 @@ def test_extraction_without_article(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGE)).count() == 0
 
 
+def test_template_inside_and_text_outside_articles(spark):
+    page = lambda i: (
+        f"<body><div>Same on every page</div><article><h1>Teaser {i}</h1><div>Read this on our site</div><p>Body {i}</p>{'<p>more ' * (i % 3)}<p>All rights are with the house</p></article>"
+        f"<div><p>Outside {i}</p></div><div class=related><article><p>other {i}</p></article></div></body>"
+    )
+    rows = [(i, f"http://a.org/{i}", page(i), "") for i in range(12)] + [(20 + i, f"http://copies.org/{i}", "<article><p>one</p></article>", "") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert {i: got[i] for i in range(12)} == {i: "\n".join([f"Teaser {i}", f"Body {i}", *["more"] * (i % 3), f"Outside {i}"]) for i in range(12)}
+    assert {got[20 + i] for i in range(4)} == {"one"}
+
+
 def test_never_closed():
     import time
 
