@@ -36,12 +36,8 @@ BROADCAST_BYTES = 16_000_000
 MAX_LIKE_SIBLINGS = 8
 MAX_DEPTH = 100
 
-#: Quantifiers are bounded, so that quotes or tags that are never closed can't make a long page quadratic.
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]{0,20000}>|</(?P<close>[a-zA-Z][^\s/>]{0,100})[^>]{0,20000}>"
-    r"|<(?P<open>[a-zA-Z][^\s/>]{0,100})(?P<attrs>(?:[^>\"']{1,20000}+|\"[^\"]{0,20000}\"|'[^']{0,20000}'){0,200}+)>|<(?P<broken>[a-zA-Z][^\s/>]{0,100})[^>]{0,20000}>",
-    re.S,
-)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+MARK = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Elements whose content is not markup; what they hold is not text of the page.
 RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp plaintext svg math canvas object select button audio video".split())
@@ -106,6 +102,66 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
     return Node(sig, tag, parent.chrome or chrome, inside, commentary, parent.weak)
 
 
+class Tokens:
+    """The markup tokens of a page, of any length, in time linear in the page: what is never closed is looked for once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.absent: dict[str, int] = {}  # from where on a string is not in the page
+        self.open_ended: set[int] = set()  # opening quotes from which no tag ends
+        self.attributes = ""  # of the last opening tag
+
+    def find(self, what: str, at: int) -> int:
+        if at >= self.absent.get(what, len(self.page)):
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.absent[what] = at
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """Where the '>' of a tag is, beyond quoted values; -1 if a quote is never closed."""
+        seen: list[int] = []
+        while m := MARK.search(self.page, at):
+            if m[0] == ">":
+                return m.start()
+            if m.start() in self.open_ended:
+                break
+            seen.append(m.start())
+            close = self.find(m[0], m.end())
+            if close < 0:
+                break
+            at = close + 1
+        self.open_ended.update(seen)
+        return -1
+
+    def __call__(self, start: int) -> tuple[int, str, str] | None:
+        """End, kind and value of the token at a '<': "cdata", "close", "open" or "" for others; None if it is text.
+
+        The value of a tag is its name; ``attributes`` are those of an opening tag, none where a quote is never closed.
+        """
+        page = self.page
+        if page.startswith("<!--", start):
+            end = self.find("-->", start + 4)
+            return (end + 3 if end >= 0 else len(page), "", "")
+        if page.startswith("<![CDATA[", start):
+            end = self.find("]]>", start + 9)
+            return (end + 3, "cdata", page[start + 9 : end]) if end >= 0 else (len(page), "cdata", page[start + 9 :])
+        if page.startswith(("<!", "<?"), start):
+            end = self.find(">", start + 2)
+            return (end + 1, "", "") if end >= 0 else None
+        closing = page.startswith("</", start)
+        name = NAME.match(page, start + 1 + closing)
+        first = self.find(">", name.end()) if name else -1
+        if first < 0:
+            return None
+        if closing:
+            return first + 1, "close", name[0]
+        end = self.tag_end(name.end())
+        self.attributes = page[name.end() : end] if end >= 0 else ""
+        return (end if end >= 0 else first) + 1, "open", name[0]
+
+
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
     """The tree of block elements, and the text blocks in page order: node, text, share of link text."""
     root = Node("", "", False, False, False)
@@ -114,6 +170,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
     buffer: list[str] = []
     in_link, link_chars = 0, 0
     at, end = 0, len(page)
+    tokens = Tokens(page)
 
     def flush() -> None:
         nonlocal link_chars
@@ -140,18 +197,17 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             break
         if start > at:
             add(page[at:start])
-        m = TOKEN.match(page, start)
-        if not m:
+        token = tokens(start)
+        if not token:
             add("<")
             at = start + 1
             continue
-        at = m.end()
-        if m["cdata"] is not None:
-            add(html_lib.escape(m["cdata"]))
+        at, kind, value = token
+        if kind == "cdata":
+            add(html_lib.escape(value))
             continue
-        closing = m["close"]
-        if closing:
-            closing = closing.lower()
+        if kind == "close":
+            closing = value.lower()
             if closing in BLOCK:
                 flush()
                 for depth in range(len(stack) - 1, 0, -1):
@@ -161,13 +217,14 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             elif closing == "a":
                 in_link = max(0, in_link - 1)
             continue
-        tag = (m["open"] or m["broken"] or "").lower()
-        if not tag:
+        if kind != "open":
             continue
+        tag, attrs = value.lower(), tokens.attributes
         if tag in RAW:
-            close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            if not (m["attrs"] or "").endswith("/") or tag in ("script", "style"):
-                at = close.end() if close else end
+            if not attrs.endswith("/") or tag in ("script", "style"):
+                close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+                past = tokens.find(">", close.end()) if close else -1
+                at = past + 1 if past >= 0 else end
         elif tag == "br" or tag == "hr":
             flush()
         elif tag in VOID:
@@ -180,7 +237,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             while len(stack) > 1 and stack[-1].tag in shut:
                 stack.pop()
             parent = stack[-1]
-            node = _element(tag, m["attrs"] or "", parent)
+            node = _element(tag, attrs, parent)
             like = [c for c in parent.children[-MAX_LIKE_SIBLINGS:] if c.sig == node.sig]
             if len(stack) > MAX_DEPTH:
                 pass  # so deep, an element is no node of the tree; its text stays

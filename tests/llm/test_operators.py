@@ -380,6 +380,20 @@ def test_never_closed():
     assert wrappers.main_text("<article><p title='a > b' data-x=\"<i>\">kept</p><!-- never closed", None, frozenset()) == "kept"
 
 
+def test_long_tags():
+    import time
+
+    data = "data:image/png;base64," + "Ab+/" * 20_000
+    many = " ".join(f'data-{i}="{i} > 0"' for i in range(500))
+    page = f"<body><nav data-menu='{data}'><p>menu</p></nav><!DOCTYPE {data}><article><p {many}>one</p><img src=\"{data}\"><iframe srcdoc=\"{data}\">no</iframe><p>two</p></article {data}></body>"
+    assert wrappers.main_text(page, None, frozenset()) == "one\ntwo"
+    begin = time.time()
+    for piece in ('<a ">" ', "<a '>' \">\" ", '<a "" ', "<svg/>", "<![CDATA[", "<a <a "):
+        for end in ("", "'", '"', ">"):
+            wrappers.parse(piece * 50_000 + end)
+    assert time.time() - begin < 60
+
+
 def test_articles_in_named_parts():
     related = '<div class="related"><article><p>other</p></article></div>'
     wide = '<div class="page with-sidebar"><article><header><h1>T</h1></header><p>own</p><div class="share">s</div><footer>f</footer></article></div>'
