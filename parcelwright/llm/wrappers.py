@@ -1,8 +1,8 @@
 """HTML extraction by wrapper induction over the pages of a host.
 
 A page becomes a tree of its block elements; runs of like list items and paragraphs are one node. For every host, the
-trees of up to ``REFERENCES`` pages (those with the smallest hashes of page_id) are aligned by simple tree matching and
-folded into one wrapper tree. Every page is then aligned to its host's wrapper, and for each slot 16 sums over all pages
+distinct trees of all its pages are aligned by simple tree matching and folded into one wrapper tree, ``FOLD`` at a time
+and what they give again, so that a host with a third of all pages is no task of its own. Every page is then aligned to its host's wrapper, and for each slot 16 sums over all pages
 tell whether its text is constant: where one text prevails, every bit of the texts' hashes is nearly always 0 or nearly
 always 1. A slot is a wrapper node, or one element of a run, counted from its first or from its last. Constant slots are
 template, inside an article too; varying ones are content, unless their element is by its nature none (menus, forms,
@@ -23,12 +23,13 @@ from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwright.plans.staging import stage
+from parcelwright.plans.staging import release, stage
 
-REFERENCES = 4
+#: Trees that a task folds at once, about.
+FOLD = 16
 BITS = 16
 #: Bytes of wrappers that are sent to every executor; above, pages and wrappers are joined by a shuffle.
 BROADCAST_BYTES = 16_000_000
@@ -361,14 +362,44 @@ def _aligned(wrapper: str, page: str) -> dict[int, int]:
     return {p: w for w, p in match_trees(json.loads(wrapper), json.loads(page))}
 
 
-def _induce(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
-    trees = [shape(parse(h or "")[0]) for h in pages.sort_values("rank")["html"]]
-    wrapper = trees[0]
-    for t in trees[1:]:
-        wrapper = fold(wrapper, t)
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Host and tree of every page; what was just given is not given again."""
+    given: set[tuple[str, bytes]] = set()
+    for batch in batches:
+        hosts, trees = [], []
+        for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
+            tree = json.dumps(shape(parse(page or "")[0]))
+            key = (host, hashlib.blake2b(tree.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            if key not in given:
+                if len(given) >= 100_000:
+                    given.clear()
+                given.add(key)
+                hosts.append(host)
+                trees.append(tree)
+        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "wrapper": pa.array(trees, pa.string())})
+
+
+def _fold_all(key: tuple, trees: pd.DataFrame) -> pd.DataFrame:
+    first, *rest = sorted(trees["wrapper"])
+    wrapper = json.loads(first)
+    for t in rest:
+        wrapper = fold(wrapper, json.loads(t))
     return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(wrapper)]})
 
 
+def induce(pages: DataFrame) -> DataFrame:
+    """``host, wrapper`` for every host: the trees of all its pages folded into one."""
+    trees = stage(pages.select("host", "html").mapInArrow(_trees, "host string, wrapper string").distinct(), "trees")
+    while True:
+        counts = stage(trees.groupBy("host").agg(F.count("*").alias("trees")).where("trees > 1"), "tree-counts")
+        if counts.isEmpty():
+            return trees
+        several = trees.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("trees") / FOLD)))
+        folded = several.groupBy("host", "part").applyInPandas(_fold_all, "host string, wrapper string")
+        before, trees = trees, stage(folded.union(trees.join(counts, "host", "left_anti")).distinct(), "trees")
+        release(before)
+
+
 def slots_of(node: Node) -> Iterator[tuple[int, str]]:
     """Place and text of a node's slots: 0 is the whole node; of a run, 1 is the first element with text and -1 the last."""
     yield 0, "\n".join(node.texts)
@@ -449,12 +480,7 @@ def learn(pages: DataFrame, min_pages: int = 3, agreement: float = 0.9) -> DataF
     An element's place counts where most pages that have its run have it too, so that a few long pages that are copies
     of each other don't make their ends template.
     """
-    order = Window.partitionBy("host").orderBy(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), "page_id")
-    chosen = pages.select("page_id", "host").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= REFERENCES)
-    chosen = stage(chosen.select(F.col("page_id").alias("_id"), F.col("host").alias("_host"), "rank"), "wrapper-pages")
-    references = pages.join(chosen, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("host") == F.col("_host"))).select("host", "rank", "html")
-    references = references.dropDuplicates(["host", "rank"])
-    wrappers = stage(references.groupBy("host").applyInPandas(_induce, "host string, wrapper string"), "wrappers")
+    wrappers = induce(pages)
     slots = _with_wrappers(pages.select("page_id", "host", "html"), wrappers).select("host", "html", "wrapper").mapInArrow(_slot_hashes, "host string, node int, place int, hash long")
     sums = slots.groupBy("host", "node", "place").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("hash", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(BITS)])
     steady = F.lit(True)

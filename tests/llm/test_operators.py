@@ -369,6 +369,15 @@ def test_template_inside_and_text_outside_articles(spark):
     assert {got[20 + i] for i in range(4)} == {"one"}
 
 
+def test_wrapper_of_all_pages(spark):
+    notices = [f"<div class=n{'abcdefghijklmnopqrstuvwxyz'[k]}>Notice {'abcdefghijklmnopqrstuvwxyz'[k]}</div>" for k in range(25)]  # each on 4 of 100 pages
+    rows = [(i, "http://a.org/x", f"<body><h1>Title {i}</h1>{notices[i // 4]}<p>Body {i}</p></body>", "") for i in range(100)]
+    pages = spark.createDataFrame(rows, PAGE)
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()} == {i: f"Title {i}\nBody {i}" for i in range(100)}
+    (row,) = wrappers.induce(pages.withColumn("host", F.lit("a.org"))).collect()
+    assert all(f"div.n{c}" in row["wrapper"] for c in "abcdefghijklmnopqrstuvwxy")
+
+
 def test_never_closed():
     import time
 
