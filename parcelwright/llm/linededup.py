@@ -4,7 +4,9 @@ A line's tokens lead down a tree of fixed depth: token count, then the leading `
 digit are variable. Below a leaf, the rest of the line is generalised: besides the line itself, each of ``PARTS`` equal
 parts of the rest is replaced by a wildcard in turn (for lines of ``MIN_TOKENS`` tokens and more), so lines that differ
 in one field meet in one template. A template that recurs in ``min_docs`` documents or more is dropped from all of them
-but the first, whose occurrence stays.
+but the first, whose occurrence stays. Whole lines of more than ``STEP`` tokens need fewer documents the longer they are,
+``min_docs`` divided by the steps begun and 2 at least: with 10, two documents from 41 tokens on. Generalisations always
+need ``min_docs``, as what differs between their lines goes too.
 
 Templates are hashes; counting combines before the shuffle, so a line in a third of all documents is one row per task.
 """
@@ -21,6 +23,8 @@ DEPTH, PARTS, MIN_TOKENS, MIN_DOCS = 3, 4, 8, 10
 #: Recurring templates that are sent to every executor; above, they are joined by a shuffle.
 BROADCAST_ROWS = 300_000
 WILDCARD = "<*>"
+#: Tokens of a step of a line's length. A template's lowest bits hold the steps of a whole line, 1 for generalisations.
+STEP, MAX_STEPS = 10, 15
 
 
 def tokens(line: Column) -> Column:
@@ -30,35 +34,42 @@ def tokens(line: Column) -> Column:
 
 
 def templates(line: Column) -> Column:
-    """array<bigint>: the hashes of a line's templates, from the line itself to its generalisations; none for a blank line."""
+    """array<bigint>: the hashes of a line's templates, from the line itself to its generalisations; none for a blank line.
+
+    The lowest bits are no hash, but the steps of the template's length.
+    """
+    stepped = lambda h, steps: h.bitwiseAND(F.lit(~MAX_STEPS)).bitwiseOR(steps.cast("long"))
 
     def keys(t: Column) -> Column:
         n = F.size(t)
         rest = n - DEPTH
         cut = lambda i: F.floor(rest * i / PARTS).cast("int")
-        exact = F.xxhash64(n, F.lit(-1), t)
-        general = [F.xxhash64(n, F.lit(i), F.slice(t, F.lit(1), cut(i) + DEPTH), F.slice(t, cut(i + 1) + DEPTH + 1, n)) for i in range(PARTS)]
+        exact = stepped(F.xxhash64(n, F.lit(-1), t), F.least(F.ceil(n / STEP), F.lit(MAX_STEPS)))
+        general = [stepped(F.xxhash64(n, F.lit(i), F.slice(t, F.lit(1), cut(i) + DEPTH), F.slice(t, cut(i + 1) + DEPTH + 1, n)), F.lit(1)) for i in range(PARTS)]
         return F.when(n == 0, F.array().cast("array<bigint>")).when(n < MIN_TOKENS, F.array(exact)).otherwise(F.array(exact, *general))
 
     return let(tokens(line), keys)
 
 
-def recurring(keyed: DataFrame, min_docs: int) -> DataFrame:
-    """``template, first_doc`` of the templates in at least ``min_docs`` rows of ``keyed`` (doc_id, keys by line)."""
+def recurring(keyed: DataFrame, min_docs: int, by_length: bool = True) -> DataFrame:
+    """``template, first_doc`` of the templates in at least ``min_docs`` rows of ``keyed`` (doc_id, keys by line), or in
+    fewer where ``by_length`` and the line is long."""
+    steps = F.col("template").bitwiseAND(F.lit(MAX_STEPS))
+    needed = F.least(F.lit(min_docs), F.greatest(F.lit(2), F.ceil(F.lit(min_docs) / steps))) if by_length else F.lit(min_docs)
     each = keyed.select("doc_id", F.explode(F.array_distinct(F.flatten("keys"))).alias("template"))
-    return each.groupBy("template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= min_docs).select("template", "first_doc")
+    return each.groupBy("template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= needed).select("template", "first_doc")
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, by_length: bool = True) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and ``n_lines``, ``n_dropped`` (lines with a token).
 
     All columns are kept (but for older ones of these names); n_chars, where there is one, follows the text. Lines are split at ``\\n``; blank lines stay. Null text stays
-    null; rows with equal doc_id and text are changed alike; an empty table gives an empty result.
+    null; without ``by_length``, lines of any length need ``min_docs``; rows with equal doc_id and text are changed alike; an empty table gives an empty result.
     """
     text_hash = F.xxhash64(F.col("text"))
     by_line = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), templates)
     keyed = stage(docs.select("doc_id", text_hash.alias("_hash"), by_line.alias("keys")), "line-templates")
-    often = stage(recurring(keyed, min_docs), "recurring-lines")
+    often = stage(recurring(keyed, min_docs, by_length), "recurring-lines")
     side = F.broadcast(often) if often.count() <= BROADCAST_ROWS else often
     lines = keyed.select("doc_id", "_hash", F.posexplode("keys").alias("line", "templates")).select("doc_id", "_hash", "line", F.explode("templates").alias("template"))
     hits = lines.join(side, "template").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))

@@ -17,7 +17,8 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup_lines(documents(spark, sf_dir))
+    """With one threshold for lines of any length, as the SQL has it."""
+    out = linededup.dedup_lines(documents(spark, sf_dir), by_length=False)
     return out.select("doc_id", "n_lines", "n_dropped", "n_chars", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 

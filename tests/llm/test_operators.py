@@ -331,6 +331,17 @@ def test_line_templates(spark):
     assert set(none.values()) == {0}
 
 
+@pytest.mark.parametrize("n_docs", range(2, 10))
+def test_long_lines_in_few_documents(spark, n_docs):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(55))
+    near = passage.replace("wordzb", "other")
+    texts = [f"own text of {chr(97 + i)}\n{passage}" for i in range(n_docs)] + [f"own text of z\n{near}", "own text of y\na short line"] + ["own text of x\na short line"] * (n_docs - 1)
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(n_docs)] == [texts[0]] + [t.split("\n")[0] for t in texts[1:n_docs]]
+    if n_docs < 9:  # else the variant makes ten
+        assert [got[i] for i in range(n_docs, len(texts))] == texts[n_docs:]
+
+
 PAGE = "page_id long, url string, html string, text string"
 
 
