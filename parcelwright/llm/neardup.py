@@ -344,11 +344,11 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """``doc_id, node, class_id, n_links, n_text_links, class_size`` for every row of ``docs``.
+    """``doc_id, node, component, class_id, n_links, n_text_links, class_size`` for every row of ``docs``.
 
     ``class_id`` is the smallest doc_id of the connected component of links at Jaccard 0.8 or more over five-word
     shingles; ``n_links`` counts the other rows linked to this one (equal texts included), ``n_text_links`` the other
-    texts. ``node`` is a 64-bit hash of the text. Null counts as the empty text; texts without words are linked to their
+    texts. ``node`` is a 64-bit hash of the text, ``component`` the smallest of the class. Null counts as the empty text; texts without words are linked to their
     equals only; a text of fewer than five words is one shingle; an empty table gives an empty result; columns other
     than doc_id and text are not read.
     """
@@ -365,16 +365,16 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     placed = stage(placed, "placed")
     named = placed.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     info = placed.join(named, "component").select(
-        "node", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links")
+        "node", "component", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links")
     )
-    return sketched.select("doc_id", "node").join(info, "node", "left").select("doc_id", "node", "class_id", "n_links", "n_text_links", "class_size")
+    return sketched.select("doc_id", "node").join(info, "node", "left").select("doc_id", "node", "component", "class_id", "n_links", "n_text_links", "class_size")
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, all columns, without the near duplicates of others: of each class one row stays, with the
-    smallest doc_id, and of several rows with that id one."""
+    smallest doc_id, and of several rows of the class with that id one. Classes may share ids, or have none."""
     no_id = F.lit(-(2**63)).cast("long")
     tagged = packed(docs).withColumns({"_id": F.coalesce(F.col("row.doc_id").cast("long"), no_id), "_node": F.xxhash64(F.coalesce("row.text", F.lit("")))})
     first = near_duplicates(docs, **settings).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = first.groupBy(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("_id")).agg(F.min("node").alias("_node"))
+    kept = first.groupBy("component").agg(F.coalesce(F.min("doc_id").cast("long"), no_id).alias("_id"), F.min("node").alias("_node")).select("_id", "_node")
     return tagged.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).select("row.*")

@@ -47,7 +47,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(documents(spark, sf_dir)).drop("node")
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("node", "component")
 
 
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -318,6 +318,13 @@ def test_near_duplicates_of_documents(spark, data):
     assert {i: (r["class_id"], r["n_links"]) for i, r in got.items()} == {i: (component[i], len(links[i])) for i in texts}
 
 
+def test_keep_one_of_each_class_whatever_its_id(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1) + " tail"), (None, text(2)), (7, text(3)), (7, text(4)), (7, text(4)), (7, text(5)), (3, text(5) + " tail"), (None, text(3))]
+    got = [(r["doc_id"], r["text"].split("x")[0]) for r in neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(None, "w0"), (None, "w1"), (None, "w2"), (7, "w3"), (7, "w4"), (3, "w5")], key=str)
+
+
 def test_line_templates(spark):
     unique = lambda i: f"document {chr(97 + i)} says something of its own"
     texts = [f"{unique(i)}\nUser {1000 + i} logged in from host {i}.example at noon today\n\nshort line" if i < 12 else unique(i) for i in range(15)]
