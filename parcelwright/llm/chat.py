@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_SCHEMA = "conv_id long, segment long, text string, loss boolean, turn_end boolean, valid boolean, problem string"
+_SCHEMA = "conv_id long, segment long, text string, loss boolean, valid boolean, problem string"
 BATCH_CHARS = 4_000_000
 
 
@@ -57,8 +57,8 @@ def unescape(text: str) -> str:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string())
-    names = ("conv_id", "segment", "text", "loss", "turn_end", "valid", "problem")
+    types = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.string())
+    names = ("conv_id", "segment", "text", "loss", "valid", "problem")
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=list(names))
 
 
@@ -83,10 +83,9 @@ def _format(template: Template):
                         part = escape(text, pattern)
                     elif "{role}" in part:
                         part = part.replace("{role}", escape(role, pattern).replace("\n", "\\n"))
-                    rows.append((conv, n, part, loss, False, problem is None, problem))
+                    rows.append((conv, n, part, loss, problem is None, problem))
                     held += len(part)
                     n += 1
-                rows[-1] = (*rows[-1][:4], True, *rows[-1][5:])
                 if held > BATCH_CHARS or len(rows) > 50_000:
                     yield _batch(rows)
                     rows, held = [], 0
@@ -102,7 +101,7 @@ def by_conversation(rows: DataFrame) -> DataFrame:
 
 
 def format_conversations(rows: DataFrame, template: Template = INSTRUCT) -> DataFrame:
-    """Segments ``conv_id, segment, text, loss, turn_end, valid, problem``, in order within each partition.
+    """Segments ``conv_id, segment, text, loss, valid, problem``, in order within each partition.
 
     Joined in order, a conversation's segments are its formatted text. ``valid`` turns false at the turn that breaks the
     order (``problem`` says how); the conversation is still formatted whole. Null text and role count as empty, null
@@ -111,18 +110,41 @@ def format_conversations(rows: DataFrame, template: Template = INSTRUCT) -> Data
     return by_conversation(rows).mapInArrow(_format(template), _SCHEMA)
 
 
-def parse_turn(text: str, template: Template) -> tuple[str, str]:
-    """Role and text of one formatted turn, read from the formatted text alone."""
-    for role, parts in (*template.turns.items(), ("", template.other)):
-        head, tail = parts[0][0], parts[-1][0]
-        opening = head.split("{role}")[0]
-        if text.startswith(opening) and text.endswith(tail):
-            body = text[len(opening) : len(text) - len(tail)]
-            if "{role}" in head:
+class Reader:
+    """Reads turns from formatted text as it comes: what opens a turn names its role, the first unescaped closing string
+    after it ends the turn. Only the formatted text is looked at."""
+
+    def __init__(self, template: Template):
+        self.forms = [(role, parts[0][0].split("{role}")[0], "{role}" in parts[0][0], parts[-1][0]) for role, parts in (*template.turns.items(), ("", template.other))]
+        self.longest = max(len(opening) for _, opening, _, _ in self.forms)
+        self.text, self.form, self.searched = "", None, 0
+
+    def feed(self, text: str) -> Iterator[tuple[str, str]]:
+        """Role and text of the turns that ``text`` completes."""
+        self.text += text
+        while self.text:
+            if self.form is None:
+                self.form = next((f for f in self.forms if self.text.startswith(f[1])), None)
+                if self.form is None:
+                    if len(self.text) < self.longest and any(f[1].startswith(self.text) for f in self.forms):
+                        return
+                    raise ValueError(f"no turn of this template: {self.text[:40]!r}")
+                self.searched = len(self.form[1])
+            role, opening, named, closing = self.form
+            end = self.text.find(closing, self.searched)
+            if end < 0:
+                self.searched = max(len(opening), len(self.text) - len(closing) + 1)
+                return
+            body = self.text[len(opening) : end]
+            if named:
                 role, _, body = body.partition("\n")
                 role = re.sub(r"\\(\\|n)?", lambda m: {"n": "\n", "\\": "\\", None: ""}[m[1]], role)
-            return role, unescape(body)
-    raise ValueError(f"no turn of this template: {text[:40]!r}")
+            self.text, self.form = self.text[end + len(closing) :], None
+            yield role, unescape(body)
+
+    def close(self) -> None:
+        if self.text:
+            raise ValueError(f"a turn that never ends: {self.text[:40]!r}")
 
 
 def _read_back(template: Template):
@@ -131,23 +153,23 @@ def _read_back(template: Template):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = None
-        started = False
+        reader = None
         turns = loss = hashlib.sha256()
         n = loss_chars = chars = 0
         problem = None
-        buffer: list[str] = []
         out: list[tuple] = []
 
         def finish() -> tuple:
+            reader.close()
             return current, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, problem is None, problem
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "text", "loss", "turn_end", "problem"))
-            for conv, segment, text, counts, turn_end, why in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "text", "loss", "problem"))
+            for conv, segment, text, counts, why in zip(*columns, strict=True):
                 if segment == 0:
-                    if started:
+                    if reader:
                         out.append(finish())
-                    current, started, problem = conv, True, None
+                    current, reader, problem = conv, Reader(template), None
                     turns, loss = hashlib.sha256(), hashlib.sha256()
                     n = loss_chars = chars = 0
                 chars += len(text)
@@ -156,16 +178,13 @@ def _read_back(template: Template):
                     plain = unescape(text)
                     loss.update(plain.encode())
                     loss_chars += len(plain)
-                buffer.append(text)
-                if turn_end:
-                    role, said = parse_turn("".join(buffer), template)
-                    buffer.clear()
+                for role, said in reader.feed(text):
                     turns.update(f"{role}\n{said}\n".encode())
                     n += 1
             if len(out) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=schema)
                 out = []
-        if started:
+        if reader:
             out.append(finish())
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=schema)
@@ -174,6 +193,10 @@ def _read_back(template: Template):
 
 
 def digest(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
-    """One row per conversation, read back from the segments of ``format_conversations`` in the order they come."""
+    """One row per conversation, read back from the segments of ``format_conversations`` in the order they come.
+
+    Turns are read from the formatted text by its control strings, the loss from the segments' flags; ``valid`` and
+    ``problem`` are the verdict of the state machine on the order of turns.
+    """
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean, problem string"
     return segments.mapInArrow(_read_back(template), schema)

@@ -24,7 +24,10 @@ from parcelwright.plans.staging import stage
 ORDER = 4
 LETTERS = re.compile(r"[^\W\d_]+")
 _MULTIPLIER, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
-SALTS = 64
+#: A language's documents are dealt into so many parts, then so many, before the last choice.
+SALTS = (64, 8)
+#: Chosen documents that are sent to every executor; above, they are joined by a shuffle.
+BROADCAST_ROWS = 300_000
 #: A worker forgets its scored words beyond so many.
 CACHED_WORDS = 300_000
 #: Words of a batch whose scores are summed at once.
@@ -220,18 +223,24 @@ _SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, re
 
 
 def fit(labelled: DataFrame, max_docs: int = 400, reject_quantile: float = 0.999) -> Model:
-    """A model from rows ``doc_id, lang, text`` with a known language; at most ``max_docs`` rows by language are used.
+    """A model from rows ``doc_id, lang, text`` with a known language; at most ``max_docs`` documents by language are used.
 
+    Repeated rows of a document count once (of several texts under one id, the one with the smallest hash). The driver
+    gets the n-gram counts of the sample, so what it holds is bounded by ``max_docs`` whole texts for each language.
     Without a labelled row the model has no language, and every prediction is ``und``.
     """
     spark = labelled.sparkSession
     known = labelled.where("lang is not null and text is not null")
-    # the smallest hashes of each of SALTS parts first, so that no task sees more than SALTS * max_docs rows of a language
-    keyed = known.select("doc_id", "lang", F.md5(F.col("doc_id").cast("string")).alias("key"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    first = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("key", "doc_id"))).where(F.col("rank") <= max_docs)
-    chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))).where(F.col("rank") <= max_docs)
-    chosen = stage(chosen.select(F.col("doc_id").alias("_id"), "rank"), "langid-chosen")
-    texts = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    # one row for each document, whatever the number of its rows; partial aggregation takes the copies together
+    chosen = known.groupBy("lang", "doc_id").agg(F.min(F.xxhash64("text")).alias("hash")).withColumn("key", F.md5(F.col("doc_id").cast("string")))
+    # the smallest hashes of each part first, so that no task sees more than SALTS[-1] * max_docs rows of a language at the end
+    for parts in (*SALTS, 1):
+        dealt = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(parts))).orderBy("key", "doc_id")
+        chosen = chosen.withColumn("rank", F.row_number().over(dealt)).where(F.col("rank") <= max_docs)
+    chosen = stage(chosen.select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "rank"), "langid-chosen")
+    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")) & (F.xxhash64("text") == F.col("_hash"))
+    texts = known.select("doc_id", "lang", "text").join(side, same).groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text"))
     texts = stage(texts.select("doc_id", "lang", "text", (F.col("rank") % 5 == 0).alias("held")), "langid-sample")
     counted = texts.where("not held").select("lang", "text").mapInArrow(_count, "lang string, n int, gram long, context long, suffix long, count long")
     c = counted.groupBy("lang", "n", "gram", "context", "suffix").agg(F.sum("count").alias("count")).toPandas()
@@ -264,7 +273,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score, cross_entropy, rejected`` for every row of ``docs``, from its whole text alone.
 
     A null text and one without a letter are ``und`` with score 0. ``score`` is the calibrated probability of the
-    language; ``rejected`` marks texts that are unlike every learned language. Repeated rows are predicted alike.
+    language; ``rejected`` marks texts that are unlike every learned language. Repeated rows are predicted alike; a text
+    of any length is scored whole, its words in one pass; of equal entropies the first language by name wins; an empty table gives an empty result.
     """
     if not model.langs:
         return docs.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(False).alias("rejected"))

@@ -2,7 +2,7 @@
 
 A line's tokens lead down a tree of fixed depth: token count, then the leading ``DEPTH`` tokens, of which those with a
 digit are variable. Below a leaf, the rest of the line is generalised: besides the line itself, each of ``PARTS`` equal
-parts of the rest is replaced by a wildcard in turn (for lines of ``MIN_TOKENS`` tokens and more), so lines that differ
+parts of the rest is replaced by a wildcard in turn (for lines of ``min_tokens`` tokens and more, a parameter of ``dedup_lines``), so lines that differ
 in one field meet in one template. A template that recurs in ``min_docs`` documents or more is dropped from all of them
 but the first, whose occurrence stays. Whole lines of more than ``STEP`` tokens need fewer documents the longer they are,
 ``min_docs`` divided by the steps begun and 2 at least: with 10, two documents from 41 tokens on. Generalisations always
@@ -33,7 +33,7 @@ def tokens(line: Column) -> Column:
     return F.array_remove(F.split(masked, BLANKS), "")
 
 
-def templates(line: Column) -> Column:
+def templates(line: Column, min_tokens: int = MIN_TOKENS) -> Column:
     """array<bigint>: the hashes of a line's templates, from the line itself to its generalisations; none for a blank line.
 
     The lowest bits are no hash, but the steps of the template's length.
@@ -60,14 +60,15 @@ def recurring(keyed: DataFrame, min_docs: int, by_length: bool = True) -> DataFr
     return each.groupBy("template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= needed).select("template", "first_doc")
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, by_length: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, by_length: bool = True, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and ``n_lines``, ``n_dropped`` (lines with a token).
 
     All columns are kept (but for older ones of these names); n_chars, where there is one, follows the text. Lines are split at ``\\n``; blank lines stay. Null text stays
-    null; without ``by_length``, lines of any length need ``min_docs``; rows with equal doc_id and text are changed alike; an empty table gives an empty result.
+    null; without ``by_length``, lines of any length need ``min_docs``; lines of fewer than ``min_tokens`` tokens are not
+    generalised, as three leading tokens of four say too little; texts and lines of any length are taken whole; rows with equal doc_id and text are changed alike; an empty table gives an empty result.
     """
     text_hash = F.xxhash64(F.col("text"))
-    by_line = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), templates)
+    by_line = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda line: templates(line, min_tokens))
     keyed = stage(docs.select("doc_id", text_hash.alias("_hash"), by_line.alias("keys")), "line-templates")
     often = stage(recurring(keyed, min_docs, by_length), "recurring-lines")
     side = F.broadcast(often) if often.count() <= BROADCAST_ROWS else often

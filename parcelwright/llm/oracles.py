@@ -17,44 +17,41 @@ base AS (
   SELECT d.rid, d.doc_id, d.lang, d.source, CAST(len(w.w) AS BIGINT) AS n_words,
     CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(coalesce(d.text, ''), '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(regexp_extract_all(coalesce(d.text, ''), '[!-/:-@\[-`{{-~]')) AS BIGINT) AS n_marks,
     CAST(len(l.l) - len(list_distinct(l.l)) AS BIGINT) AS n_dup_lines, CAST(len(l.l) AS BIGINT) AS n_lines,
     CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
   FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN cov USING (rid)),
 s AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-    CASE WHEN n_words > 0 THEN n_symbols * 100 // n_words ELSE 0 END AS m1,
-    CASE WHEN n_lines > 0 THEN n_dup_lines * 100 // n_lines ELSE 0 END AS m2,
-    CASE WHEN n_words > 0 THEN word_chars * 10 // n_words ELSE 0 END AS m3
+    CASE WHEN word_chars > 0 THEN n_marks * 1000 // word_chars ELSE 0 END AS m1,
+    CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS m2,
+    CASE WHEN n_dup_lines > 0 THEN n_dup_lines * 100 // n_lines END AS m3
   FROM base),
 cell AS (
   SELECT lang, source, 1 AS m, m1 AS v FROM s WHERE NOT base_failed UNION ALL
   SELECT lang, source, 2, m2 FROM s WHERE NOT base_failed UNION ALL
   SELECT lang, source, 3, m3 FROM s WHERE NOT base_failed),
-low AS (SELECT lang, source, m, CASE WHEN v < 64 THEN v ELSE (v >> (length(bin(v)) - 6)) << (length(bin(v)) - 6) END AS v FROM cell),
-grp AS (
-  SELECT 2 AS level, lang, source, m, v, count(*) AS n FROM low GROUP BY ALL UNION ALL
-  SELECT 1, lang, NULL, m, v, count(*) FROM low GROUP BY ALL UNION ALL
-  SELECT 0, NULL, NULL, m, v, count(*) FROM low GROUP BY ALL),
+low AS (SELECT lang, source, m, CASE WHEN v < 256 THEN v ELSE (v >> (length(bin(v)) - 8)) << (length(bin(v)) - 8) END AS v FROM cell WHERE v IS NOT NULL),
+own AS (SELECT lang, source, m, v, count(*) AS n FROM low GROUP BY ALL),
+grp AS (SELECT lang, source, m FROM (SELECT DISTINCT lang, source FROM own), (SELECT unnest([1, 2, 3]) AS m)),
+per AS (SELECT lang, m, v, sum(n) AS n FROM own GROUP BY ALL),
+lng AS (SELECT lang, m, v, n * 25000000 // sum(n) OVER (PARTITION BY lang, m) AS n FROM per),
+tot AS (SELECT m, v, sum(n) AS n FROM own GROUP BY ALL),
+alt AS (SELECT m, v, n * 25000000 // sum(n) OVER (PARTITION BY m) AS n FROM tot),
+mer AS (
+  SELECT lang, source, m, v, sum(n) AS n FROM (
+    SELECT lang, source, m, v, n * 1000000 AS n FROM own UNION ALL
+    SELECT g.lang, g.source, g.m, l.v, l.n FROM grp g JOIN lng l ON g.m = l.m AND g.lang IS NOT DISTINCT FROM l.lang UNION ALL
+    SELECT g.lang, g.source, g.m, a.v, a.n FROM grp g JOIN alt a ON g.m = a.m) GROUP BY ALL),
 cum AS (
-  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, m ORDER BY v) AS upto,
-    sum(n) OVER (PARTITION BY level, lang, source, m) AS total FROM grp),
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY v) AS upto, sum(n) OVER (PARTITION BY lang, source, m) AS total FROM mer),
 qua AS (
-  SELECT level, lang, source, m, max(total) AS total, min(v) FILTER (WHERE upto * 4 >= total) AS q1, min(v) FILTER (WHERE upto * 4 >= total * 3) AS q3
-  FROM cum GROUP BY ALL),
-fen AS (
-  SELECT *, CASE m WHEN 1 THEN greatest(20, q3 + greatest(20, 4 * (q3 - q1))) WHEN 2 THEN greatest(50, q3 + greatest(25, 4 * (q3 - q1)))
-    ELSE greatest(80, q3 + greatest(25, 4 * (q3 - q1))) END AS f FROM qua),
-thr AS (
-  SELECT level, lang, source, max(total) AS n, max(f) FILTER (WHERE m = 1) AS f1, max(f) FILTER (WHERE m = 2) AS f2, max(f) FILTER (WHERE m = 3) AS f3
-  FROM fen GROUP BY ALL),
+  SELECT lang, source, m, min(v) FILTER (WHERE upto * 4 >= total) AS q1, min(v) FILTER (WHERE upto * 4 >= total * 3) AS q3 FROM cum GROUP BY ALL),
 used AS (
-  SELECT p.lang, p.source,
-    CASE WHEN p.n >= 50 THEN p.f1 WHEN l.n >= 50 THEN l.f1 ELSE a.f1 END AS f1,
-    CASE WHEN p.n >= 50 THEN p.f2 WHEN l.n >= 50 THEN l.f2 ELSE a.f2 END AS f2,
-    CASE WHEN p.n >= 50 THEN p.f3 WHEN l.n >= 50 THEN l.f3 ELSE a.f3 END AS f3
-  FROM thr p JOIN thr l ON l.level = 1 AND p.lang IS NOT DISTINCT FROM l.lang JOIN thr a ON a.level = 0 WHERE p.level = 2),
+  SELECT lang, source, max(q3 + 5 * (q3 - q1)) FILTER (WHERE m = 1) AS f1, max(q3 + 5 * (q3 - q1)) FILTER (WHERE m = 2) AS f2,
+    max(q3 + 5 * (q3 - q1)) FILTER (WHERE m = 3) AS f3 FROM qua GROUP BY ALL),
 judged AS (
-  SELECT s.*, NOT base_failed AND NOT coalesce(m1 > f1 OR m2 > f2 OR m3 > f3, FALSE) AS kept
+  SELECT s.*, NOT base_failed AND NOT coalesce(m1 > f1, FALSE) AND NOT coalesce(m2 > f2, FALSE) AND NOT coalesce(m3 > f3, FALSE) AS kept, f1, f2, f3
   FROM s LEFT JOIN used u ON s.lang IS NOT DISTINCT FROM u.lang AND s.source IS NOT DISTINCT FROM u.source)
 """
 
@@ -91,8 +88,8 @@ k AS (
     list_prepend(array_to_string(w, ' '), list_transform([0, 1, 2, 3], lambda p: CAST(p AS VARCHAR) || ' ' || CAST(len(w) AS VARCHAR) || ' ' ||
       array_to_string(w[1:3 + (len(w) - 3) * p // 4], ' ') || ' | ' || array_to_string(w[(len(w) - 3) * (p + 1) // 4 + 4:], ' '))) END AS keys
   FROM t),
-e AS (SELECT rid, doc_id, i, unnest(keys) AS key FROM k),
-o AS (SELECT key, min(doc_id) AS first_doc FROM (SELECT DISTINCT rid, doc_id, key FROM e) GROUP BY key HAVING count(*) >= 10),
+e AS (SELECT rid, doc_id, i, key, CASE WHEN regexp_matches(key, '^[0-3] ') THEN 1 ELSE ceil(n / 10.0) END AS steps FROM (SELECT rid, doc_id, i, n, unnest(keys) AS key FROM k)),
+o AS (SELECT key, min(doc_id) AS first_doc FROM (SELECT DISTINCT rid, doc_id, key, steps FROM e) GROUP BY key HAVING count(*) >= least(10, greatest(2, ceil(10.0 / any_value(steps))))),
 x AS (SELECT DISTINCT rid, i FROM e JOIN o USING (key) WHERE e.doc_id IS DISTINCT FROM o.first_doc),
 r AS (
   SELECT t.rid, count(*) FILTER (WHERE len(t.w) > 0) AS n_lines, count(x.i) AS n_dropped,
