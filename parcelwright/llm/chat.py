@@ -153,7 +153,7 @@ def _read_back(template: Template):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = None
-        reader = None
+        reader, last = None, ""
         turns = loss = hashlib.sha256()
         n = loss_chars = chars = 0
         problem = None
@@ -161,7 +161,8 @@ def _read_back(template: Template):
 
         def finish() -> tuple:
             reader.close()
-            return current, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, problem is None, problem
+            why = problem or (f"ends after {last or 'no role'}" if template.accept and last not in template.accept else None)
+            return current, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, why is None, why
 
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "text", "loss", "problem"))
@@ -178,8 +179,8 @@ def _read_back(template: Template):
                     plain = unescape(text)
                     loss.update(plain.encode())
                     loss_chars += len(plain)
-                for role, said in reader.feed(text):
-                    turns.update(f"{role}\n{said}\n".encode())
+                for last, said in reader.feed(text):
+                    turns.update(f"{last}\n{said}\n".encode())
                     n += 1
             if len(out) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=schema)
@@ -196,7 +197,7 @@ def digest(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     """One row per conversation, read back from the segments of ``format_conversations`` in the order they come.
 
     Turns are read from the formatted text by its control strings, the loss from the segments' flags; ``valid`` and
-    ``problem`` are the verdict of the state machine on the order of turns.
+    ``problem`` are the verdict of the state machine on the order of turns and on the state in which they end.
     """
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean, problem string"
     return segments.mapInArrow(_read_back(template), schema)

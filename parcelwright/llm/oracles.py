@@ -105,11 +105,16 @@ c AS (
 f AS (
   SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
     + len(regexp_extract_all(text, '<s>|</s>|\[INST\]|\[/INST\]|\[ANS\]|<<SYS>>|<</SYS>>|\[ROLE\]|\[/ROLE\]'))
-    + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 18 WHEN 'assistant' THEN 11 ELSE 16 + length(role) END AS chars FROM c)
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars) AS BIGINT) AS formatted_chars
-FROM f GROUP BY conv_id"""
+    + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 18 WHEN 'assistant' THEN 11 ELSE 16 + length(role) END AS chars FROM c),
+g AS (SELECT *, row_number() OVER w AS rn, lag(role, 1, 'start') OVER w AS state FROM f WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+t AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY rn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+    min_by(CASE role WHEN '' THEN 'no role' ELSE role END || ' after ' || state || ' at turn ' || turn, rn)
+      FILTER (WHERE state || ' ' || role NOT IN ('start system', 'start user', 'system user', 'user assistant', 'assistant user')) AS broken,
+    max_by(CASE role WHEN '' THEN 'no role' ELSE role END, rn) AS last
+  FROM g GROUP BY conv_id),
+p AS (SELECT *, coalesce(broken, CASE WHEN last NOT IN ('user', 'assistant') THEN 'ends after ' || last END) AS problem FROM t)
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, problem IS NULL AS valid, problem FROM p"""
 
-ORACLES = {"op2_line_dedup": OP2, "op4_chat_formatting": OP4, "op5_quality_rules": OP5, "op7_mixing": OP7}
