@@ -1,24 +1,32 @@
 """License scans (native): ordered signature rules over normalised words.
 
 A rule is a regular expression over the text's words (lower-case ASCII, one space between words), with a keyword, a
-priority (its place in ``RULES``), a label and a weight. Only texts that hold a keyword stem are normalised, and only
-rules whose keyword occurs are run. Detections are word intervals; one that lies inside another is suppressed, and of
-equal intervals the rule of higher priority stays. Everything happens inside a row: no shuffle at all.
+priority (its place in ``RULES``), a label and a weight. Only texts that hold a stem are normalised, and only rules whose
+keyword occurs are run. For that, every word is followed by its number, which the patterns skip, so a match says at which
+words it begins and ends, and finding all places takes time linear in the text. Detections are word intervals: one that
+lies inside another is suppressed (of equal intervals the rule of higher priority stays), and of two neighbours that
+overlap in part the one of higher priority stays. Everything happens inside a row: no shuffle at all.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from functools import cache, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwright.llm.signatures import SIGNATURES
 from parcelwright.llm.text import let
 
 #: A word is a run of ASCII letters, digits and anything outside ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between a word and its number.
+MARK = "\x02"
+#: Detections of a text that are folded at once when intervals are compared.
+BLOCK = 256
 
 #: The base phrases with their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -95,68 +103,67 @@ COMMONS = (
     ("cc-by-sa", "by sa", "attribution share ?alike"),
     ("cc-by", "by", "attribution"),
 )
-#: Sentences that stand in a license's own text, or say something about rights without naming one.
-SENTENCES = (
-    ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy of this software", 0.97),
-    ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee", 0.97),
-    ("bsd", "redistribution", r"redistribution and use in source and binary forms(?: with or without modification)?", 0.9),
-    ("gpl", "licen", r"you can redistribute it and or modify it under the terms of the gnu general public license", 0.95),
-    ("lgpl", "licen", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license", 0.95),
-    ("agpl", "licen", r"you can redistribute it and or modify it under the terms of the gnu affero general public license", 0.95),
-    ("mpl-2", "licen", r"this source code form is subject to the terms of the mozilla public license(?: v(?:ersion)? 2 0)?", 0.97),
-    ("unlicense", "public domain", r"this is free and unencumbered software released into the public domain", 0.97),
-    ("zlib", "permission", r"permission is granted to anyone to use this software for any purpose including commercial applications", 0.95),
-    ("bsl-1", "permission", r"permission is hereby granted free of charge to any person or organization obtaining a copy", 0.95),
-    ("apache-2", "licen", r"you may not use this file except in compliance with the license", 0.9),
-    ("public-domain", "public domain", r"(?:released into|dedicated to|placed in|in) the public domain", 0.7),
-    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?", 0.9),
-    ("cc0", "commons", r"creative commons zero(?: v?1 0)?(?: universal)?", 0.9),
-    ("all-rights-reserved", "copyright", r"copyright (?:c )?(?:[0-9]{4} )?(?:[^ ]+ ){0,6}all rights reserved", 0.6),
-    ("proprietary", "licen", r"(?:proprietary|commercial|closed source) licen[cs]e", 0.5),
-    ("gpl", "general public", r"(?:gnu )?general public license", 0.6),
-    ("lgpl", "lesser", r"(?:gnu )?lesser general public license", 0.6),
-    ("agpl", "affero", r"(?:gnu )?affero general public license", 0.6),
-    ("bsd", "bsd", r"bsd(?: style)? licen[cs]e", 0.6),
-    ("apache", "apache", r"apache (?:software )?licen[cs]e", 0.6),
-    ("cc", "commons", r"creative commons licen[cs]e", 0.5),
-)
 _GRANT = r"(?:(?:is |are )?(?:licensed|released|distributed|published|available|provided|offered|covered)(?: to you)? )?under (?:the )?(?:terms of )?(?:the |an |a )?"
 
 
+def literals(regex: str) -> list[str]:
+    """The strings that every match of a rule holds: what is left without groups, classes and optional letters."""
+    plain, depth = [], 0
+    for part in re.findall(r"\[[^\]]*\]|\{\d*,?\d*\}|[()?|]|[^\[\](){}?|]+", regex):
+        depth += (part == "(") - (part == ")")
+        if depth == 0 and part == "|":
+            raise ValueError(f"an alternation needs a group: {regex}")
+        if depth == 0 and part == "?" and plain and len(plain[-1]) > 1:
+            plain[-1] = plain[-1][:-1]
+        plain.append(part if depth == 0 and part[0] not in "[(){?" else "\n")
+    return [x.strip(" ") for x in "".join(plain).split("\n") if x.strip(" ")]
+
+
+def keyword_of(regex: str) -> str:
+    """The longest string that every match of a rule holds."""
+    return max(literals(regex), key=len)
+
+
 def _rules() -> tuple[Rule, ...]:
-    out = [Rule(label, f"spdx license identifier (?:{spdx})", "spdx", 1.0) for label, _, _, spdx in NAMES]
+    out = [Rule(label, f"spdx license identifier (?:{spdx})", "spdx license identifier", 1.0) for label, _, _, spdx in NAMES]
     for label, short, _ in COMMONS:
-        out.append(Rule(label, f"spdx license identifier cc {short}(?: [1-4] [05])?", "spdx", 1.0))
-        out.append(Rule(label, rf"{_GRANT}(?:creative commons |cc ){short}(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", "under", 0.97))
-        out.append(Rule(label, rf"creativecommons org licenses {short}(?: [1-4] [05])?", "creativecommons", 0.95))
+        out.append(Rule(label, f"spdx license identifier cc {short}(?: [1-4] [05])?", "spdx license identifier cc", 1.0))
+        out.append(Rule(label, rf"{_GRANT}(?:creative commons |cc ){short}(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", short, 0.97))
+        out.append(Rule(label, rf"creativecommons org licenses {short}(?: [1-4] [05])?", "creativecommons org licenses", 0.95))
     for label, _, full in COMMONS:
-        out.append(Rule(label, rf"creative commons (?:{full})(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", "commons", 0.95))
-    out += [Rule(label, rf"{_GRANT}(?:{name})(?: licen[cs]e)?(?: {_V}[0-9](?: [0-9])?)?(?: or (?:any )?later(?: version)?)?", "under", 0.95) for label, _, name, _ in NAMES]
-    out += [Rule(label, regex, keyword, weight) for label, keyword, regex, weight in SENTENCES[:11]]
-    out += [Rule(label, rf"(?:opensource org licenses|spdx org licenses) (?:{spdx})", "licenses", 0.9) for label, _, _, spdx in NAMES]
+        out.append(Rule(label, rf"creative commons (?:{full})(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", "creative commons", 0.95))
+    out += [Rule(label, regex, keyword_of(regex), weight) for label, weight, regex in SIGNATURES if weight >= 0.9]
+    out += [Rule(label, rf"{_GRANT}(?:{name})(?: licen[cs]e)?(?: {_V}[0-9](?: [0-9])?)?(?: or (?:any )?later(?: version)?)?", keyword, 0.95) for label, keyword, name, _ in NAMES]
+    out += [Rule(label, rf"(?:opensource org licenses|spdx org licenses) (?:{spdx})", "org licenses", 0.9) for label, _, _, spdx in NAMES]
     out += [Rule(label, rf"(?:{name}) licen[cs]e", keyword, 0.8) for label, keyword, name, _ in NAMES]
     out += [Rule(label, name, keyword, 0.7) for label, keyword, name, _ in NAMES if "licen" in name or "gpl" in name]
-    out += [Rule(label, f"cc {short}(?: {_V}[1-4] [05])?", "cc by", 0.8) for label, short, _ in COMMONS]
-    out += [Rule(label, regex, keyword, weight) for label, keyword, regex, weight in SENTENCES[11:]]
+    out += [Rule(label, f"cc {short}(?: {_V}[1-4] [05])?", f"cc {short}", 0.8) for label, short, _ in COMMONS]
+    out += [Rule(label, regex, keyword_of(regex), weight) for label, weight, regex in SIGNATURES if weight < 0.9]
     out += [Rule(label, phrase, phrase, 0.8) for phrase, label in BASE]
     return tuple(out)
 
 
 RULES = _rules()
-#: A text in which none of these occurs can match no rule. The stems are single words, the pairs are words in a row.
-STEMS = ("licen", "gpl", "spdx", "copyright", "wtfpl", "cecill", "ncsa", "cc0")
-PAIRS = (("cc", "by"), ("public", "domain"), ("creative", "commons"), ("permission", "is"), ("permission", "to"), ("redistribution", "and"), ("under", "the"), ("under", "mit"), ("under", "isc"), ("under", "zlib"))
-_NAMED = "|".join(sorted({k for _, k, _, _ in NAMES} | {"cc", "commons"}))
+#: A text in which none of these occurs, nor a pair, can match no rule.
+STEMS = (
+    "licen", "ware", "copyright", "copyleft", "warrant", "permission", "distribut", "commons", "gpl", "gnu", "domain", "spdx", "apache", "mozilla", "bsd", "cecill", "ncsa", "wtfpl", "cc0", "trademark", "patent", "consortium",
+    "opensolaris", "gutenberg", "commercial", "derechos", "droits", "rechte", "reproduced", "prohibited", "decompile", "derivative", "fuck", "confidential", "invariant", "opendatacommons", "beer", "damages",
+    "prominent", "library", "exception", "restrictions", "government", "mulan", "lizenz", "certificate", "evaluation", "installing", "copying", "provided",
+)
+#: Words in a row, for rules that hold no stem.
+CC_BY = rf"cc{SEPARATORS}by"
+UNDER = rf"under{SEPARATORS}(?:the{SEPARATORS}|terms{SEPARATORS}|of{SEPARATORS}|an?{SEPARATORS})*[0-9a-z]"
+_NAMED = sorted({k.split(" ")[0] for _, k, _, _ in NAMES})
 
 
 def _gate(text: Column) -> Column:
-    """Whether any rule may match: cheap substring tests first, the word pairs only where both words occur."""
+    """Whether any rule may match: cheap substring tests, the word pairs only where a first word and a name occur."""
 
     def test(low: Column) -> Column:
-        stems = reduce(lambda a, b: a | b, [F.contains(low, F.lit(s)) for s in STEMS])
-        pairs = [F.contains(low, F.lit(a)) & F.contains(low, F.lit(b)) & low.rlike(a + SEPARATORS + b) for a, b in PAIRS if a != "under"]
-        under = F.contains(low, F.lit("under")) & low.rlike(rf"under{SEPARATORS}(?:the{SEPARATORS}|a{SEPARATORS}|an{SEPARATORS}|terms{SEPARATORS}|of{SEPARATORS})*(?:[0-9a-z]+{SEPARATORS}){{0,3}}(?:{_NAMED.replace(' ', SEPARATORS)})")
-        return stems | reduce(lambda a, b: a | b, pairs) | under
+        has = lambda s: F.contains(low, F.lit(s))
+        any_of = lambda tests: reduce(lambda a, b: a | b, tests)
+        under = has("under") & any_of([has(k) for k in _NAMED]) & low.rlike(UNDER)
+        return any_of([has(s) for s in STEMS]) | (has("cc") & low.rlike(CC_BY)) | under
 
     return let(F.lower(text), test)
 
@@ -167,42 +174,75 @@ def normalise(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(low, SEPARATORS, " ")), F.lit(" "))
 
 
-def _bounded(regex: str) -> str:
-    return f"(?<= )(?:{regex})(?= )"
+def numbered(norm: Column) -> Column:
+    """`` word#0 word#1 word#2 `` with the mark for #."""
+    words = F.transform(F.split(F.trim(norm), " "), lambda w, i: F.concat(w, F.lit(MARK), i.cast("string")))
+    return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+
 
+def pattern(regex: str) -> str:
+    """A rule's expression over numbered words: whole words only, whose numbers it skips; ``{w}`` is any word."""
+    number = MARK + "[0-9]+"
+    return f"(?<= )(?:{regex.replace(' ?', f'(?:{number}~)?').replace(' ', number + '~').replace('~', ' ').replace('{w}', f'[^ {MARK}]+')}){number}(?= )"
 
-def _spaces(s: Column) -> Column:
-    return F.char_length(s) - F.char_length(F.replace(s, F.lit(" "), F.lit("")))
 
+def _places(text: Column, regex: str) -> Column:
+    """array<struct<first, last>>: the word intervals of numbered words that a regex matches, left to right."""
 
-def _places(norm: Column, regex: Column) -> Column:
-    """array<struct<first, last>>: the word intervals that a regex matches, left to right."""
+    def place(match: Column) -> Column:
+        first, last = F.substring_index(F.substring_index(match, " ", 1), MARK, -1), F.substring_index(match, MARK, -1)
+        return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
 
-    def cumulate(parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("upto"), F.array().cast("array<struct<first:int,last:int>>").alias("at"))
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern(regex)), F.lit(0)), place)
 
-        def step(acc: Column, gap_and_match: Column) -> Column:
-            first = acc["upto"] + gap_and_match["gap"]
-            last = first + gap_and_match["inner"]
-            return F.struct(last.alias("upto"), F.concat(acc["at"], F.array(F.struct((first - 1).alias("first"), (last - 1).alias("last")))).alias("at"))
 
-        return F.aggregate(parts, start, step, lambda acc: acc["at"])
+_HIT = "struct<first:int,neg_last:int,rank:int,label:string,weight:double>"
+
+
+def _suppressed(hits: Column) -> Column:
+    """Sorted detections without those that lie inside an earlier one, or overlap a neighbour of higher priority.
+
+    How far earlier detections reach is folded in blocks, so that long arrays are not copied for every element.
+    """
+
+    def by_block(a: Column) -> Column:
+        blocks = F.when(F.size(a) > 0, F.sequence(F.lit(0), ((F.size(a) - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+        part = lambda b: F.slice(a, b * BLOCK + 1, F.lit(BLOCK))
+        reaches = F.transform(blocks, lambda b: F.array_max(F.transform(part(b), lambda d: -d["neg_last"])))
 
-    gaps = F.transform(F.split(norm, regex, -1), _spaces)
-    inner = F.transform(F.regexp_extract_all(norm, regex, F.lit(0)), _spaces)
-    return cumulate(F.filter(F.zip_with(gaps, inner, lambda g, i: F.struct(g.alias("gap"), i.alias("inner"))), lambda p: p["inner"].isNotNull()))
+        def fold(m: Column, b: Column) -> Column:
+            none = F.struct(F.coalesce(F.array_max(F.slice(m, F.lit(1), b)), F.lit(-1)).alias("reach"), F.array().cast(f"array<{_HIT}>").alias("kept"))
+            step = lambda acc, d: F.when(-d["neg_last"] <= acc["reach"], acc).otherwise(F.struct((-d["neg_last"]).alias("reach"), F.concat(acc["kept"], F.array(d)).alias("kept")))
+            return F.aggregate(part(b), none, step, lambda acc: acc["kept"])
 
+        return let(reaches, lambda m: F.flatten(F.transform(blocks, lambda b: fold(m, b))))
 
-def _detections(norm: Column) -> Column:
-    """All detections of the rules whose keyword occurs, and those left after suppression."""
-    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in RULES})])
-    rules = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(_bounded(r.regex)).alias("regex"), F.lit(r.keyword).alias("keyword"), F.lit(r.weight).alias("weight"), F.lit(i).alias("rank")) for i, r in enumerate(RULES)])
-    found = F.filter(keywords, lambda k: F.contains(norm, k))
-    active = let(found, lambda f: F.filter(rules, lambda r: F.array_contains(f, r["keyword"])))
-    hits = F.flatten(F.transform(active, lambda r: F.transform(_places(norm, r["regex"]), lambda p: F.struct(p["first"].alias("first"), (-p["last"]).alias("neg_last"), r["rank"].alias("rank"), r["label"].alias("label"), r["weight"].alias("weight")))))
-    none = F.struct(F.lit(-1).alias("reach"), F.array().cast("array<struct<first:int,neg_last:int,rank:int,label:string,weight:double>>").alias("kept"))
-    step = lambda acc, d: F.when(-d["neg_last"] <= acc["reach"], acc).otherwise(F.struct((-d["neg_last"]).alias("reach"), F.concat(acc["kept"], F.array(d)).alias("kept")))
-    return F.aggregate(F.array_sort(hits), none, step, lambda acc: acc["kept"])
+    def priority(a: Column) -> Column:
+        def stays(d: Column, i: Column) -> Column:
+            before, after = F.get(a, i - 1), F.get(a, i + 1)
+            yields = lambda other, overlap: F.coalesce(overlap & (other["rank"] < d["rank"]), F.lit(False))
+            return ~(yields(before, -before["neg_last"] >= d["first"]) | yields(after, after["first"] <= -d["neg_last"]))
+
+        return F.filter(a, stays)
+
+    return let(let(F.array_sort(hits), by_block), priority)
+
+
+@cache
+def _found() -> str:
+    """SQL for the matches of every rule whose keyword occurs in ``x.norm``, over the numbered words ``x.words``.
+
+    As text it is parsed at once; the patterns are literals, so each is compiled once in a task.
+    """
+    rules = [f"struct({i} AS rank, '{r.label}' AS label, {r.weight}D AS weight, CASE WHEN contains(x.norm, '{r.keyword}') THEN regexp_extract_all(x.words, '{pattern(r.regex)}', 0) END AS found)" for i, r in enumerate(RULES)]
+    return f"filter(array({', '.join(rules)}), r -> size(r.found) > 0)"
+
+
+def _detections(s: str) -> Column:
+    """The detections of the rules whose keyword occurs, those left after suppression; ``s`` names a struct<norm, words>."""
+    first, last = f"substring_index(substring_index(m, ' ', 1), '{MARK}', -1)", f"substring_index(m, '{MARK}', -1)"
+    hit = f"struct(int({first}) AS first, -int({last}) AS neg_last, r.rank AS rank, r.label AS label, r.weight AS weight)"
+    return _suppressed(F.expr(f"flatten(transform(transform(array({s}), x -> {_found()})[0], r -> transform(r.found, m -> {hit})))"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -210,19 +250,16 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``detections`` are array<struct<first, neg_last, rank, label, weight>> of word positions, after suppression. The
     score is the largest weight of a detection, 0 without any. Null counts as the empty text; repeated rows are scanned
-    alike; an empty table gives an empty result; columns other than doc_id and text are not read.
+    alike; a text of any length is scanned whole, in time linear in its words and matches; of rules that match the same
+    words the first in ``RULES`` counts; an empty table gives an empty result; columns other than doc_id and text are
+    not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    empty = F.array().cast("array<struct<first:int,neg_last:int,rank:int,label:string,weight:double>>")
+    empty = F.array().cast(f"array<{_HIT}>")
 
-    def look(norm: Column) -> Column:
-        base = F.array(*[F.struct(F.lit(label).alias("label"), _places(norm, F.lit(_bounded(phrase))).alias("at")) for phrase, label in BASE])
-        return F.struct(base.alias("base"), _detections(norm).alias("detections"))
-
-    looked = docs.select(
-        "doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
-        F.when(_gate(text), let(normalise(text), look)).alias("s"),
-    )
+    looked = docs.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(_gate(text), let(normalise(text), lambda n: F.struct(n.alias("norm"), numbered(n).alias("words")))).alias("s"))
+    base = F.array(*[F.struct(F.lit(label).alias("label"), _places(F.col("s.words"), phrase).alias("at")) for phrase, label in BASE])
+    looked = looked.select("doc_id", "n_words", F.when(F.col("s").isNotNull(), F.struct(base.alias("base"), _detections("s").alias("detections"))).alias("s"))
     starts = F.coalesce(F.flatten(F.transform("s.base", lambda b: F.transform(b["at"], lambda p: p["first"]))), F.array().cast("array<int>"))
     base_labels = F.coalesce(F.transform(F.filter("s.base", lambda b: F.size(b["at"]) > 0), lambda b: b["label"]), F.array().cast("array<string>"))
     looked = looked.select("doc_id", "n_words", starts.alias("starts"), base_labels.alias("base_labels"), F.coalesce("s.detections", empty).alias("detections"))
