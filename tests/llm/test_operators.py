@@ -402,7 +402,7 @@ def test_never_closed():
     begin = time.time()
     for piece in ('<a title="x>', "<a ", "<!", "</p ", "<div><p>", "<!-- ", "<script>"):
         page = "<article><p>kept</p>" + piece * 20_000
-        assert wrappers.main_text(page, json.dumps(wrappers.shape(wrappers.parse(page)[0])), frozenset()).startswith("kept")
+        assert wrappers.main_text(page, wrappers.parse(page)[0].text(), frozenset()).startswith("kept")
     assert time.time() - begin < 60
     assert wrappers.main_text("<article><p title='a > b' data-x=\"<i>\">kept</p><!-- never closed", None, frozenset()) == "kept"
 
@@ -429,6 +429,61 @@ def test_articles_in_named_parts():
     assert wrappers.main_text(f"{wide}<section id=comments><article class=comment><p>nice</p></article></section>", None, frozenset()) == "T\nown"
 
 
+def test_natures_are_of_elements():
+    text = lambda page: wrappers.main_text(page, None)
+    assert text("<article><p hidden>x</p><p>real</p><p>real2</p></article>") == "real\nreal2"
+    assert text('<ul><li aria-hidden="true">x</li><li>real</li></ul>') == "real"
+    assert text("<p>a</p><p hidden>secret</p>") == "a"
+    assert text('<article><div class="menu-recipe">soup</div><p>p</p></article>') == "soup\np"
+    assert text('<article class="comment-policy"><p>be kind</p></article>') == "be kind"
+    assert text('<main><p>p</p><div class="site-menu">m</div><div class="cookie-banner-box">c</div><div id="ad-slot-3">a</div></main>') == "p"
+    assert text("<article><img src='data:" + "A" * 50_000 + "'><p>short</p></article>") == "short"
+
+
+@pytest.mark.parametrize("kind", ["mixed", "deep", "distinct"])
+def test_long_pages(kind):
+    """20,000 blocks: alternating, nested, and each of a class of its own."""
+    import time
+    import tracemalloc
+
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    make = {
+        "mixed": lambda n: "".join(f"<h2>h {i}</h2><div>d {i}</div>" for i in range(n // 2)),
+        "deep": lambda n: "".join(f"<div>d {i}" for i in range(n)) + "</p></section>" * n,
+        "distinct": lambda n: "".join(f"<div class=c{letters(i)}>d {i}</div>" for i in range(n)),
+    }[kind]
+    page, other = make(20_000), make(19_000)
+    begin = time.time()
+    wrapper = wrappers.fold(wrappers.parse(other)[0], wrappers.parse(page)[0]).text()
+    text = wrappers.main_text(page, wrapper)
+    assert time.time() - begin < 10
+    assert text.count("\n") == 19_999
+    tracemalloc.start()
+    wrappers.match_trees(wrappers.Tree.of(wrapper), wrappers.parse(page)[0])
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    tracemalloc.stop()
+
+
+def test_wrapper_decides(spark, data):
+    """Without its article marks, a page gives nearly the same; the same page on a host where its text is template gives less."""
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    bare = pages.withColumn("html", F.regexp_replace("html", "</?article>", ""))
+    marked = {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()}
+    unmarked = {r["page_id"]: r["text"] for r in wrappers.extract(bare).collect()}
+    same = sum(marked[i] == unmarked[i] for i in marked)
+    assert same >= 0.95 * len(marked)
+    page = lambda i, note: f"<body><article><h1>Title {i}</h1><p>Body {i}</p><p>{note}</p></article></body>"
+    rows = [(i, "http://same.org/x", page(i, "One note"), "") for i in range(9)] + [(20 + i, "http://own.org/x", page(i, f"Note {i}"), "") for i in range(8)] + [(30, "http://own.org/x", page(8, "One note"), "")]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got[8] == "Title 8\nBody 8" and got[30] == "Title 8\nBody 8\nOne note"
+
+
+def test_pruned_trees():
+    tree = flat(["", [["body", [["div.a", [["p", []]]], ["div.b", []]]]]])
+    kept = frozenset(h for h, s in zip(wrappers.paths(tree), tree.sigs, strict=True) if s != "div.a")
+    assert wrappers.pruned(tree, kept) == (["", "body", "div.b"], [-1, 0, 1])
+
+
 def brute_match(a, b):
     """Size of the largest order-preserving alignment of two trees, without memory."""
     if a[0] != b[0]:
@@ -440,6 +495,29 @@ def brute_match(a, b):
     return 1 + m[-1][-1]
 
 
+def flat(t):
+    """Nested lists as a tree in preorder."""
+    out = wrappers.Tree([], [])
+
+    def walk(n, parent):
+        at = len(out.sigs)
+        out.sigs.append(n[0])
+        out.parents.append(parent)
+        for c in n[1]:
+            walk(c, at)
+
+    walk(t, -1)
+    return out
+
+
+def nested(t):
+    nodes = [[s, []] for s in t.sigs]
+    for i, p in enumerate(t.parents):
+        if p >= 0:
+            nodes[p][1].append(nodes[i])
+    return nodes[0]
+
+
 def test_tree_matching():
     rng = random.Random(9)
 
@@ -448,7 +526,8 @@ def test_tree_matching():
 
     for _ in range(60):
         a, b = ["r", [tree(2), tree(2)]], ["r", [tree(2), tree(2)]]
-        pairs = wrappers.match_trees(a, b)
+        pairs = wrappers.match_trees(flat(a), flat(b))
         assert len(pairs) == brute_match(a, b) and len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
-        folded = wrappers.fold(a, b)
-        assert brute_match(folded, b) == wrappers._size(b)
+        folded = wrappers.fold(flat(a), flat(b))
+        assert brute_match(nested(folded), b) == len(flat(b).sigs) and brute_match(nested(folded), a) == len(flat(a).sigs)
+        assert len(folded.sigs) == len(flat(a).sigs) + len(flat(b).sigs) - len(pairs)
