@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 40_000_000
+BLOCK_CHARS = 12_000_000
 PAYLOAD_CHARS = 2_000_000
 #: A task forgets its encoded words beyond so many.
 CACHED_WORDS = 1_000_000

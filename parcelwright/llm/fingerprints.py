@@ -4,13 +4,14 @@ Every paragraph hashes to a wide vector; a document's fingerprint is the sum of
 modulo a power of two. Sums do not depend on order, and a paragraph is inserted or deleted by adding or subtracting its
 vector (``insert``, ``delete``). The vector has two parts:
 
-* ``exact``: 16 components modulo 2**32 cut from SHA-512 of the paragraph, for equality.
-* ``near``: counters modulo 2**20, three to a long, of the hash bits of the paragraph's segments (runs of a few words
+* ``exact``: 8 components modulo 2**60 cut from SHA-512 of the paragraph, for equality.
+* ``near``: 128 counters modulo 2**32, two to a long, of the hash bits of the paragraph's segments (runs of a few words
   that end where the text itself says so), for likeness. Bits are read as signs, so the dot product of two documents'
-  counters estimates how many segments they share.
+  counters estimates how many segments they share; the estimate is right up to 2**31 segments.
 
-Texts are compared as multisets of paragraphs: equal texts have equal fingerprints, and so have two orders of the same
-paragraphs. Null counts as the empty text, which is one empty paragraph.
+Counting takes eight passes over the segments for 64 counters: a long holds eight counters of a byte, which are widened
+after every 127 segments. Texts are compared as multisets of paragraphs: equal texts have equal fingerprints, and so have
+two orders of the same paragraphs. Null counts as the empty text, which is one empty paragraph.
 """
 
 from __future__ import annotations
@@ -23,14 +24,21 @@ from pyspark.sql import functions as F
 
 from parcelwright.llm.text import let
 
-EXACT, EXACT_MOD = 16, 1 << 32
-SHIFTS, LANE_BITS, HASHES = 20, 20, 2
-LANES = SHIFTS * 3 * HASHES
-_ONES = (1 << 2 * LANE_BITS) | (1 << LANE_BITS) | 1
-_MOD = (1 << 3 * LANE_BITS) - 1
+EXACT, EXACT_BITS = 8, 60
+_EXACT_MASK = (1 << EXACT_BITS) - 1
+LANE_BITS, HASHES = 32, 2
+LANES = 64 * HASHES
+_LANE_MASK = (1 << LANE_BITS) - 1
+_ONES = 0x0101010101010101
+CHUNK = 127
 SEGMENTS, MAX_RANGES = 1024, 1_000_000
-#: A segment ends at white space after one of these characters; about every third word ends in one.
-SEGMENT_END = r"(?<=[.,;:!?|%#&*$dnry。])\s+"
+#: A segment ends at white space after one of these characters (about every third word ends in one), or after a stop or
+#: a frequent character of scripts that put no white space there.
+SEGMENT_END = r"(?<=[.,;:!?|%#&*$dnry。、，！？；])\s+|(?<=[。、，！？；的了是在不有のをはにがとで다는이가])(?=\S)"
+
+
+def _shifted(x: Column, n: Column | int) -> Column:
+    return F.call_function("shiftrightunsigned", x, n if isinstance(n, Column) else F.lit(n))
 
 
 def fingerprint(text: Column) -> Column:
@@ -38,18 +46,23 @@ def fingerprint(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
 
     def exact(hashes: Column) -> Column:
-        lane = lambda i: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("long"))
-        return F.array(*[F.pmod(lane(i), F.lit(EXACT_MOD)) for i in range(EXACT)])
+        width = EXACT_BITS // 4
+        lane = lambda i: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: (a + F.conv(F.substring(h, width * i + 1, width), 16, 10).cast("long")).bitwiseAND(F.lit(_EXACT_MASK)))
+        return F.array(*[lane(i) for i in range(EXACT)])
 
     def counters(hashes: Column) -> Column:
-        lane = lambda i: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: (a + F.shiftrightunsigned(x, i).bitwiseAND(F.lit(_ONES))).bitwiseAND(F.lit(_MOD)))
-        return F.array(*[lane(i) for i in range(SHIFTS)])
+        chunks = F.when(F.size(hashes) > 0, F.transform(F.sequence(F.lit(0), ((F.size(hashes) - 1) / CHUNK).cast("int")), lambda c: F.slice(hashes, c * CHUNK + 1, F.lit(CHUNK)))).otherwise(F.array().cast("array<array<bigint>>"))
+        bytewise = lambda chunk, i: F.aggregate(chunk, F.lit(0).cast("long"), lambda a, x: a + F.shiftrightunsigned(x, i).bitwiseAND(F.lit(_ONES)))
+        sums = F.transform(chunks, lambda chunk: F.array(*[bytewise(chunk, i) for i in range(8)]))
+
+        def widened(parts: Column) -> Column:
+            lane = lambda p: F.aggregate(parts, F.lit(0).cast("long"), lambda a, q: (a + _shifted(F.get(q, (p % 8).cast("int")), (p - p % 8).cast("int")).bitwiseAND(F.lit(255))).bitwiseAND(F.lit(_LANE_MASK)))
+            return F.transform(F.sequence(F.lit(0), F.lit(31)), lambda p: lane(p).bitwiseOR(F.shiftleft(lane(p + 32), LANE_BITS)))
 
-    def hashed(segments: Column, salt: int) -> Column:
-        return F.transform(segments, lambda s: F.xxhash64(s, F.lit(salt)))
+        return let(sums, widened)
 
     def near(segments: Column) -> Column:
-        sums = [let(hashed(segments, salt), counters) for salt in range(HASHES)]
+        sums = [let(F.transform(segments, lambda s, salt=salt: F.xxhash64(s, F.lit(salt))), counters) for salt in range(HASHES)]
         return F.struct(F.concat(*sums).alias("lanes"), F.size(segments).cast("long").alias("n"))
 
     paragraphs = F.split(text, "\n", -1)
@@ -60,19 +73,20 @@ def fingerprint(text: Column) -> Column:
 
 def _combine(a: Column, b: Column, sign: int) -> Column:
     return F.struct(
-        F.zip_with(a["exact"], b["exact"], lambda x, y: F.pmod(x + y * sign, F.lit(EXACT_MOD))).alias("exact"),
+        F.zip_with(a["exact"], b["exact"], lambda x, y: (x + y * sign).bitwiseAND(F.lit(_EXACT_MASK))).alias("exact"),
         F.zip_with(a["near"], b["near"], lambda x, y: _lanewise(x, y, sign)).alias("near"),
         (a["n"] + b["n"] * sign).alias("n"),
     )
 
 
+def _halves(x: Column) -> tuple[Column, Column]:
+    """The two counters of a long."""
+    return x.bitwiseAND(F.lit(_LANE_MASK)), F.shiftrightunsigned(x, LANE_BITS)
+
+
 def _lanewise(x: Column, y: Column, sign: int) -> Column:
-    mod = F.lit((1 << LANE_BITS) - 1)
-    parts = []
-    for k in range(3):
-        a, b = (F.shiftrightunsigned(v, k * LANE_BITS).bitwiseAND(mod) for v in (x, y))
-        parts.append(F.shiftleft((a + b * sign).bitwiseAND(mod), k * LANE_BITS))
-    return reduce(lambda p, q: p.bitwiseOR(q), parts)
+    low, high = ((a + b * sign).bitwiseAND(F.lit(_LANE_MASK)) for a, b in zip(_halves(x), _halves(y), strict=True))
+    return low.bitwiseOR(F.shiftleft(high, LANE_BITS))
 
 
 def insert(a: Column, b: Column) -> Column:
@@ -88,18 +102,15 @@ def delete(a: Column, b: Column) -> Column:
 def to_text(fp: Column) -> Column:
     """The fingerprint as lower-case hex: exact part, ``-``, segment count, ``-``, near part."""
     hexes = lambda values, width: F.array_join(F.transform(values, lambda v: F.lpad(F.hex(v), width, "0")), "")
-    return F.lower(F.concat(hexes(fp["exact"], 8), F.lit("-"), F.hex(fp["n"]), F.lit("-"), hexes(fp["near"], 3 * LANE_BITS // 4)))
+    return F.lower(F.concat(hexes(fp["exact"], EXACT_BITS // 4), F.lit("-"), F.hex(fp["n"]), F.lit("-"), hexes(fp["near"], 16)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: the share of segments in common, estimated from the two fingerprints; 1 where the exact parts agree."""
-    mod = F.lit((1 << LANE_BITS) - 1)
 
     def dot(p: Column, q: Column, p_n: Column, q_n: Column) -> Column:
-        def pair(x: Column, y: Column) -> Column:
-            terms = [(F.shiftrightunsigned(x, k * LANE_BITS).bitwiseAND(mod) * 2 - p_n) * (F.shiftrightunsigned(y, k * LANE_BITS).bitwiseAND(mod) * 2 - q_n) for k in range(3)]
-            return reduce(lambda s, t: s + t, terms).cast("double")
-
+        signed = lambda lane, n: (lane * 2 - n).cast("double")
+        pair = lambda x, y: reduce(lambda s, t: s + t, [signed(u, p_n) * signed(v, q_n) for u, v in zip(_halves(x), _halves(y), strict=True)])
         return F.aggregate(F.zip_with(p, q, pair), F.lit(0.0), lambda s, v: s + v)
 
     ab, aa, bb = (dot(p["near"], q["near"], p["n"], q["n"]) for p, q in ((a, b), (a, a), (b, b)))
@@ -115,50 +126,66 @@ def _rank(value: Column, bounds: list[int]) -> Column:
     return let(coarse, lambda c: c + F.size(F.filter(F.slice(as_array(bounds), c + 1, F.lit(k)), lambda x: x < value)))
 
 
+#: Where rows without an id are put: before all others.
+_NO_ID = -(2**63)
+
+
 def _ranges(docs: DataFrame) -> Column:
-    """The range of a row's doc_id: quantiles cut the ids into SEGMENTS, each cut evenly, four ranges to a shuffle partition in all."""
+    """The range of a row by ``_id`` and ``_hash``: quantiles cut the ids into SEGMENTS, each cut evenly, four ranges to a
+    shuffle partition in all. An id that fills several quantiles is a segment of its own, cut by the hash of the text
+    into as many parts more."""
     wanted = min(MAX_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     n = min(wanted, SEGMENTS)
-    found = docs.select(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10000).alias("cuts")).first()
+    found = docs.select(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.percentile_approx("_id", [i / n for i in range(1, n)] or [0.5], 10000).alias("cuts")).first()
     if found["lo"] is None:
         return F.lit(0).cast("long")
-    cuts = sorted({c for c in found["cuts"] if c < found["hi"]}) if n > 1 else []
-    lows, highs = [found["lo"], *(c + 1 for c in cuts)], [*cuts, found["hi"]]
-    parts = -(-wanted // len(lows))
-    widths = [max(1, -(-(high - low + 1) // parts)) for low, high in zip(lows, highs, strict=True)]
+    lo, hi = found["lo"], found["hi"]
+    quantiles = sorted(found["cuts"]) if n > 1 else []
+    hot = {c: quantiles.count(c) for c in quantiles if quantiles.count(c) > 1}
+    cuts = sorted({c for c in [*quantiles, *(h - 1 for h in hot)] if lo <= c < hi})
+    lows, highs = [lo, *(c + 1 for c in cuts)], [*cuts, hi]
+    parts = [-(-wanted // len(lows)) * (hot.get(low, 1) if low == high else 1) for low, high in zip(lows, highs, strict=True)]
+    starts = [sum(parts[:i]) for i in range(len(parts))]
+    widths = [max(1, -(-(high - low + 1) // p)) for low, high, p in zip(lows, highs, parts, strict=True)]
     at = lambda values, i: F.get(F.array(*[F.lit(float(v)) for v in values]), i)
-    inside = lambda i: F.greatest(F.lit(0), F.least(F.lit(parts - 1), F.floor((F.col("doc_id").cast("double") - at(lows, i)) / at(widths, i)))).cast("long")
-    return F.coalesce(let(_rank(F.col("doc_id"), cuts), lambda i: i * parts + inside(i)), F.lit(0)).cast("long")
+
+    def inside(i: Column) -> Column:
+        by_id = F.floor((F.col("_id").cast("double") - at(lows, i)) / at(widths, i))
+        by_hash = F.floor((F.col("_hash").cast("double") / 2.0**64 + 0.5) * at(parts, i))
+        place = F.when(at([float(low == high) for low, high in zip(lows, highs, strict=True)], i) > 0, by_hash).otherwise(by_id)
+        return F.greatest(F.lit(0), F.least(at(parts, i).cast("long") - 1, place)).cast("long") + at(starts, i).cast("long")
+
+    return let(_rank(F.col("_id"), cuts), inside)
 
 
 def with_next(docs: DataFrame, payload: list[str]) -> DataFrame:
-    """Add ``next_<column>`` of the next row by ascending doc_id (ties by text), the first following the last.
+    """Add ``next_<column>`` of the next row by ascending doc_id (ties by the hash of the text), the first following the last.
 
-    Rows are dealt once into ranges of doc_id; the first row of each range is also sent to the range before it, so no
-    window spans the table. The driver sees SEGMENTS quantiles; the table of first rows, broadcast, has a row per range
-    and at most MAX_RANGES.
+    Rows are dealt once into ranges of doc_id and hash; the first row of each range is also sent to the range before it,
+    so no window spans the table, nor all rows of one id. The driver sees SEGMENTS quantiles; the table of first rows,
+    broadcast, has a row per range and at most MAX_RANGES or so. Rows without an id come first.
     """
-    ranges = _ranges(docs)
-    dealt = docs.withColumn("_range", ranges)
-    firsts = docs.select("doc_id").withColumn("_range", ranges).groupBy("_range").agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_hash": F.xxhash64("text")})
+    ranges = _ranges(keyed)
+    firsts = keyed.select("_id", "_hash", ranges.alias("_range")).groupBy("_range").agg(F.min(F.struct("_id", "_hash")).alias("low"))
     order = Window.orderBy("_range")  # one short row per range
     before = F.lag("_range").over(order)
-    firsts = firsts.select(F.when(F.col("nulls") == 0, F.col("low")).alias("_first"), F.coalesce(before, F.max("_range").over(Window.partitionBy())).alias("_to"), F.when(before.isNull(), 2).otherwise(1).alias("_after"))
-    sent = dealt.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("_first")), "left")
+    firsts = firsts.select(F.col("low._id").alias("_first"), F.col("low._hash").alias("_first_hash"), F.coalesce(before, F.max("_range").over(Window.partitionBy())).alias("_to"), F.when(before.isNull(), 2).otherwise(1).alias("_after"))
+    sent = keyed.withColumn("_range", ranges).join(F.broadcast(firsts), (F.col("_id") == F.col("_first")) & (F.col("_hash") == F.col("_first_hash")), "left")
     own = F.struct(F.col("_range").alias("b"), F.lit(0).alias("s"))
     place = F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("_to").alias("b"), F.col("_after").alias("s"))))
-    sent = sent.withColumn("_place", F.explode(place)).withColumns({"_b": F.col("_place.b"), "_s": F.col("_place.s")}).drop("_place", "_range", "_first", "_to", "_after")
-    order = Window.partitionBy("_b").orderBy("_s", F.col("doc_id").asc_nulls_first(), F.coalesce(F.col("text"), F.lit("")))
+    sent = sent.withColumn("_place", F.explode(place)).withColumns({"_b": F.col("_place.b"), "_s": F.col("_place.s")}).drop("_place", "_range", "_first", "_first_hash", "_to", "_after")
+    order = Window.partitionBy("_b").orderBy("_s", "_id", "_hash", F.coalesce(F.col("text"), F.lit("")))
     following = sent.withColumns({f"next_{c}": F.lead(c).over(order) for c in payload})
-    return following.where("_s = 0").drop("_b", "_s")
+    return following.where("_s = 0").drop("_b", "_s", "_id", "_hash")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness, one row per row of ``docs``.
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many (or all) of the next
-    document. A single document is its own next; an empty table gives an empty result; columns other than doc_id and
-    text are not read.
+    document. A single document is its own next; repeated rows follow each other; a text of any length is hashed whole;
+    an empty table gives an empty result; columns other than doc_id and text are not read.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = own.withColumn("fp", fingerprint(F.col("text")))

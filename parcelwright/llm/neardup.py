@@ -1,7 +1,8 @@
 """N-gram Jaccard join by chosen paths.
 
-Sets of five-word shingles are represented by ``COORDINATES`` min-hash values. A run starts by sampling one coordinate:
-sets that share its value share a path. A bucket (the sets of one path) of at most ``BUCKET`` sets is compared by brute
+Sets of five-word shingles are embedded, as in the published chosen-path join (Christiani, Pagh and Sivertsen, 2018), as
+sets of ``COORDINATES`` tokens (coordinate, min-hash value), so that sets of any size share tokens in proportion to their
+similarity. A run starts by sampling one token of each set: sets that share it share a path. A bucket (the sets of one path) of at most ``BUCKET`` sets is compared by brute
 force on the sketches; a larger one is split further, by coordinates sampled from its path, ``BRANCHES`` at a time. Before that, its
 sets are compared with its first: those alike are linked to it, and those that agree on ``LEAVE`` coordinates need not go
 on, as whatever is linked to them is like the first too; so a large group of near copies shrinks at once.
@@ -10,7 +11,7 @@ stay large at ``DEPTH`` agree on so many coordinates that all of their sets are
 
 Candidate links only select: their connected components are then verified with exact Jaccard over whole shingle sets,
 all pairs within a component, in blocks of ``BLOCK`` sets, so a component of any size is compared whole and no task
-holds more than two blocks. Equal texts are one set with a number of copies. What leaves a block is one row per set, not
+holds more than two blocks; where only classes are asked for, ``class_links`` spares most pairs of blocks. Equal texts are one set with a number of copies. What leaves a block is one row per set, not
 one per pair.
 """
 
@@ -49,8 +50,15 @@ CACHED_WORDS = 500_000
 
 
 def runs(recall: float = RECALL) -> int:
-    """Runs after which a pair at the threshold has met in a bucket with probability ``recall``."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - NUMERATOR / DENOMINATOR))
+    """Runs after which a pair at the threshold has met in a bucket with probability ``recall``, even if in every run its
+    buckets were split ``DEPTH`` times.
+
+    A run's first split keeps the pair together with the threshold's probability, each of the others unless all
+    ``BRANCHES`` part it; so the fewer splits, the higher the recall.
+    """
+    together = NUMERATOR / DENOMINATOR
+    met = together * (1 - (1 - together) ** BRANCHES) ** DEPTH
+    return math.ceil(math.log(1 - recall) / math.log(1 - met))
 
 
 class Shingler:
@@ -325,32 +333,67 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close()
 
 
-def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Exact links within candidate components: ``node, root, n_texts, n_docs``; a node has a row for each block pair.
-
-    ``members`` has ``node, component, copies, rep, n_shingles``; ``docs`` has ``doc_id, node, text``.
-    """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """``component, _node, copies, _rep, blocks, own``: the members of each component dealt into blocks."""
     sizes = members.groupBy("component").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.lit(1)).cast("int")
     members = members.join(sizes.select("component", blocks.alias("blocks")), "component")
-    members = stage(members.select("component", F.col("node").alias("_node"), "copies", F.col("rep").alias("_rep"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")), "members")
+    return stage(members.select("component", F.col("node").alias("_node"), "copies", F.col("rep").alias("_rep"), "n_shingles", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")), "members")
+
+
+def _compared(docs: DataFrame, members: DataFrame, across: bool) -> DataFrame:
+    """Exact links within blocks of candidate components, and ``across`` them; a node has a row for each pair of blocks."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = members.drop("n_shingles")
     side = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
     texts = docs.join(side, F.col("doc_id").eqNullSafe(F.col("_rep")) & (F.col("node") == F.col("_node"))).select("component", "node", "copies", "blocks", "own", "text")
     sets = texts.mapInArrow(_shingled, "component long, node long, copies long, blocks int, own int, shingles binary")
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"))))
+    others = F.sequence(F.lit(0), F.col("blocks") - 1) if across else F.array("own")
+    pair = F.explode(F.transform(others, lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"))))
     grouped = sets.withColumn("p", pair).select("component", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "node", "copies", "own", "shingles")
     return grouped.repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(_verify, _VERIFIED)
 
 
-def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """All exact links within candidate components: ``node, root, n_texts, n_docs``; a node has a row for each block pair.
+
+    ``members`` has ``node, component, copies, rep, n_shingles``; ``docs`` has ``doc_id, node, text``.
+    """
+    return _compared(docs, _in_blocks(members), True)
+
+
+def class_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``node, root``: links that connect what all exact links connect, without comparing all pairs of large components.
+
+    Components of one block are compared whole. Of those of several, each block is compared in itself first, then the
+    blocks' classes by one set each; only components that are still in several classes are compared whole, since a link
+    between any of their sets could join them. So a large group of near copies costs its sets once, not once a block.
+    """
+    blocked = _in_blocks(members)
+    links = stage(_compared(docs, blocked, False), "verified").select("node", "root")
+    large = stage(blocked.where("blocks > 1").withColumnRenamed("_node", "node").withColumnRenamed("_rep", "rep").drop("blocks", "own"), "large")
+    if large.isEmpty():
+        return links
+    roots = large.join(links.distinct(), "node", "left")
+    first = roots.where(F.col("root").isNull() | (F.col("root") == F.col("node"))).drop("root")
+    links = links.union(stage(_compared(docs, _in_blocks(first), False), "verified").select("node", "root"))
+    classes = connected_components(links.join(large.select("node"), "node", "left_semi").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    labelled = large.join(classes.select(F.col("id").alias("node"), F.col("component").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = stage(labelled.groupBy("component").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one < other").select("component"), "split")
+    if split.isEmpty():
+        return links
+    return links.union(stage(verified_links(docs, large.join(split, "component", "left_semi")), "verified").select("node", "root"))
+
+
+def near_duplicates(docs: DataFrame, recall: float = RECALL, count_links: bool = True) -> DataFrame:
     """``doc_id, node, component, class_id, n_links, n_text_links, class_size`` for every row of ``docs``.
 
     ``class_id`` is the smallest doc_id of the connected component of links at Jaccard 0.8 or more over five-word
     shingles; ``n_links`` counts the other rows linked to this one (equal texts included), ``n_text_links`` the other
     texts. ``node`` is a 64-bit hash of the text, ``component`` the smallest of the class. Null counts as the empty text; texts without words are linked to their
     equals only; a text of fewer than five words is one shingle; an empty table gives an empty result; columns other
-    than doc_id and text are not read.
+    than doc_id and text are not read. Without ``count_links`` the numbers of links are null, and large groups are not
+    compared whole. Texts are shingled whole, whatever their length.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
     sketched = stage(rows.select("doc_id", "node", "text").mapInArrow(_sketches, _SKETCHED), "sketches")
@@ -358,14 +401,18 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     unique = sketched.where("sketch is not null").select("node", "sketch").dropDuplicates(["node"])
     candidates = connected_components(candidate_links(unique, runs(recall)))
     members = candidates.select(F.col("id").alias("node"), "component").join(nodes, "node")
-    verified = stage(verified_links(rows, members), "verified")
+    if count_links:
+        verified = stage(verified_links(rows, members), "verified")
+    else:
+        verified = class_links(rows, members).withColumns({"n_texts": F.lit(None).cast("long"), "n_docs": F.lit(None).cast("long")})
     links = verified.groupBy("node").agg(F.sum("n_texts").alias("n_text_links"), F.sum("n_docs").alias("n_docs"))
     classes = connected_components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     placed = nodes.join(classes.withColumnRenamed("id", "node"), "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(placed, "placed")
+    none = F.lit(0) if count_links else F.lit(None).cast("long")
     named = placed.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     info = placed.join(named, "component").select(
-        "node", "component", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links")
+        "node", "component", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("n_docs", none)).alias("n_links"), F.coalesce("n_text_links", none).alias("n_text_links")
     )
     return sketched.select("doc_id", "node").join(info, "node", "left").select("doc_id", "node", "component", "class_id", "n_links", "n_text_links", "class_size")
 
@@ -375,6 +422,6 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     smallest doc_id, and of several rows of the class with that id one. Classes may share ids, or have none."""
     no_id = F.lit(-(2**63)).cast("long")
     tagged = packed(docs).withColumns({"_id": F.coalesce(F.col("row.doc_id").cast("long"), no_id), "_node": F.xxhash64(F.coalesce("row.text", F.lit("")))})
-    first = near_duplicates(docs, **settings).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    first = near_duplicates(docs, count_links=False, **settings).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = first.groupBy("component").agg(F.coalesce(F.min("doc_id").cast("long"), no_id).alias("_id"), F.min("node").alias("_node")).select("_id", "_node")
     return tagged.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).select("row.*")
