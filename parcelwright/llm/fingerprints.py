@@ -62,7 +62,8 @@ def fingerprint(text: Column) -> Column:
         return let(sums, widened)
 
     def near(segments: Column) -> Column:
-        sums = [let(F.transform(segments, lambda s, salt=salt: F.xxhash64(s, F.lit(salt))), counters) for salt in range(HASHES)]
+        hashed = lambda salt: F.transform(segments, lambda s: F.xxhash64(s, F.lit(salt)))
+        sums = [let(hashed(salt), counters) for salt in range(HASHES)]
         return F.struct(F.concat(*sums).alias("lanes"), F.size(segments).cast("long").alias("n"))
 
     paragraphs = F.split(text, "\n", -1)
