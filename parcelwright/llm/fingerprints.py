@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwright.llm.text import let
+from parcelwright.llm.text import block, blocks, let
 
 EXACT, EXACT_BITS = 8, 60
 _EXACT_MASK = (1 << EXACT_BITS) - 1
@@ -51,9 +51,8 @@ def fingerprint(text: Column) -> Column:
         return F.array(*[lane(i) for i in range(EXACT)])
 
     def counters(hashes: Column) -> Column:
-        chunks = F.when(F.size(hashes) > 0, F.transform(F.sequence(F.lit(0), ((F.size(hashes) - 1) / CHUNK).cast("int")), lambda c: F.slice(hashes, c * CHUNK + 1, F.lit(CHUNK)))).otherwise(F.array().cast("array<array<bigint>>"))
         bytewise = lambda chunk, i: F.aggregate(chunk, F.lit(0).cast("long"), lambda a, x: a + F.shiftrightunsigned(x, i).bitwiseAND(F.lit(_ONES)))
-        sums = F.transform(chunks, lambda chunk: F.array(*[bytewise(chunk, i) for i in range(8)]))
+        sums = F.transform(blocks(hashes, CHUNK), lambda c: let(block(hashes, c, CHUNK), lambda chunk: F.array(*[bytewise(chunk, i) for i in range(8)])))
 
         def widened(parts: Column) -> Column:
             lane = lambda p: F.aggregate(parts, F.lit(0).cast("long"), lambda a, q: (a + _shifted(F.get(q, (p % 8).cast("int")), (p - p % 8).cast("int")).bitwiseAND(F.lit(255))).bitwiseAND(F.lit(_LANE_MASK)))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwright.llm.signatures import SIGNATURES
-from parcelwright.llm.text import let
+from parcelwright.llm.text import block, blocks, let
 
 #: A word is a run of ASCII letters, digits and anything outside ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -206,16 +206,15 @@ def _suppressed(hits: Column) -> Column:
     """
 
     def by_block(a: Column) -> Column:
-        blocks = F.when(F.size(a) > 0, F.sequence(F.lit(0), ((F.size(a) - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
-        part = lambda b: F.slice(a, b * BLOCK + 1, F.lit(BLOCK))
-        reaches = F.transform(blocks, lambda b: F.array_max(F.transform(part(b), lambda d: -d["neg_last"])))
+        part = lambda b: block(a, b, BLOCK)
+        reaches = F.transform(blocks(a, BLOCK), lambda b: F.array_max(F.transform(part(b), lambda d: -d["neg_last"])))
 
         def fold(m: Column, b: Column) -> Column:
             none = F.struct(F.coalesce(F.array_max(F.slice(m, F.lit(1), b)), F.lit(-1)).alias("reach"), F.array().cast(f"array<{_HIT}>").alias("kept"))
             step = lambda acc, d: F.when(-d["neg_last"] <= acc["reach"], acc).otherwise(F.struct((-d["neg_last"]).alias("reach"), F.concat(acc["kept"], F.array(d)).alias("kept")))
             return F.aggregate(part(b), none, step, lambda acc: acc["kept"])
 
-        return let(reaches, lambda m: F.flatten(F.transform(blocks, lambda b: fold(m, b))))
+        return let(reaches, lambda m: F.flatten(F.transform(blocks(a, BLOCK), lambda b: fold(m, b))))
 
     def priority(a: Column) -> Column:
         def stays(d: Column, i: Column) -> Column:

@@ -26,6 +26,16 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def block(array: Column, i: Column, size: int) -> Column:
+    """The i-th run of ``size`` elements of an array (the last may be shorter), in time that grows with the run only."""
+    return F.transform(F.sequence(i * size, F.least((i + 1) * size, F.size(array)) - 1), lambda j: F.get(array, j))
+
+
+def blocks(array: Column, size: int) -> Column:
+    """The numbers of the runs of ``size`` elements of an array; none of an empty one."""
+    return F.when(F.size(array) > 0, F.sequence(F.lit(0), ((F.size(array) - 1) / size).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
 def documents(spark, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
