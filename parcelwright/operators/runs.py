@@ -31,10 +31,16 @@ def dominant_color(pixels: DataFrame, settings: Settings, by: list[str] | None =
     """
     by = by or []
     c = pixels.where((F.col("a") >= settings.min_fill_alpha) & (F.col("a") < settings.max_candidate_alpha))
+    if by:
+        n = c.groupBy(*by).agg(F.count("*").alias("n")).withColumnsRenamed({b: f"_{b}" for b in by})
+        c = c.join(n, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
+    else:
+        c = c.withColumn("n", F.lit(c.count()))
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / sample))
+    # only images of which not every candidate is taken need the order of their pixels
     order = Window.partitionBy(*by).orderBy("pos")
-    whole = Window.partitionBy(*by)
-    c = c.withColumn("i", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(whole))
-    c = c.where(F.col("i") % F.greatest(F.lit(1), F.floor(F.col("n") / sample)) == 0)
+    thinned = c.where(step > 1).withColumn("i", F.row_number().over(order) - 1).where(F.col("i") % step == 0).drop("i")
+    c = c.where(step == 1).unionByName(thinned).withColumn("i", F.col("pos"))
     quantised = [(F.floor(F.col(x) / 4) * 4).cast("int").alias(x) for x in "rgb"]
     counted = c.select(*by, "n", "i", *quantised).groupBy(*by, "n", "r", "g", "b").agg(F.count("*").alias("k"), F.min("i").alias("first"))
     best = counted.groupBy(*by, "n").agg(F.max_by(F.struct("r", "g", "b"), F.struct("k", -F.col("first"))).alias("c"))
@@ -59,10 +65,20 @@ def to_runs(mask: DataFrame, by: str = "block_id") -> DataFrame:
 
 
 def _run_ids(runs: DataFrame, by: str) -> DataFrame:
-    """Run ids that fit in a long, in order of block, row and start: block (23 bits), then row and start (20 each) from the block's own corner."""
+    """Run ids that fit in a long, in order of block, row and start: block (23 bits), then row and start (20 each) from the
+    block's own corner. More blocks than fit are an error."""
     whole = Window.partitionBy(by)
     row, start = F.col("gy") - F.min("gy").over(whole), F.col("x0") - F.min("x0").over(whole)
-    return runs.withColumn("run", F.shiftleft(F.col(by).cast("long"), 40) + F.shiftleft(row.cast("long"), 20) + start)
+    block = F.when(F.col(by).between(0, (1 << 23) - 1), F.col(by).cast("long")).otherwise(F.raise_error(F.concat(F.lit("no run ids for block "), F.col(by))).cast("long"))
+    return runs.withColumn("run", F.shiftleft(block, 40) + F.shiftleft(row.cast("long"), 20) + start)
+
+
+def _wide_ids(rows: DataFrame, shape: str) -> Column:
+    """An id of a run or gap of a shape that spans blocks: the shape's id, then row and start from its own corner."""
+    whole = Window.partitionBy(shape)
+    row, start = F.col("gy") - F.min("gy").over(whole), F.col("x0") - F.min("x0").over(whole)
+    within = F.shiftleft(row.cast("long"), 24) + start.cast("long")
+    return (F.col(shape).cast("decimal(20,0)") * F.lit(1 << 48).cast("decimal(17,0)") + within).cast("decimal(38,0)")
 
 
 def components(runs: DataFrame, by: str = "block_id") -> DataFrame:
@@ -104,7 +120,7 @@ def fill_small_holes(shaped: DataFrame, settings: Settings) -> DataFrame:
     tails = rows.groupBy("polygon_id", "block_id", "gy", "top", "bottom", "left", "right").agg(F.max("x1").alias("x0")).withColumn("x1", F.col("right") + 1)
     gaps = gaps.unionByName(tails.select(*gaps.columns)).where("x0 < x1")
     open_end = (F.col("x0") < F.col("left")) | (F.col("x1") > F.col("right")) | (F.col("gy") == F.col("top")) | (F.col("gy") == F.col("bottom"))
-    gaps = gaps.withColumn("open", open_end).withColumn("gap", F.abs(F.xxhash64("polygon_id", "gy", "x0")))
+    gaps = gaps.withColumn("open", open_end).withColumn("gap", _wide_ids(gaps, "polygon_id"))
     p, q = gaps.alias("p"), gaps.withColumn("gy", F.col("gy") - 1).alias("q")
     meet = (F.col("p.polygon_id") == F.col("q.polygon_id")) & (F.col("p.gy") == F.col("q.gy")) & (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1"))
     labels = connected_components(p.join(q, meet).select(F.col("p.gap").alias("a"), F.col("q.gap").alias("b")))
@@ -153,7 +169,7 @@ def merge_shapes(shaped: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _parts(united: DataFrame) -> DataFrame:
-    r = united.withColumn("run", F.abs(F.xxhash64("root_id", "gy", "x0")))
+    r = united.withColumn("run", _wide_ids(united, "root_id"))
     p, q = r.alias("p"), r.withColumn("gy", F.col("gy") - 1).alias("q")
     meet = (F.col("p.root_id") == F.col("q.root_id")) & (F.col("p.gy") == F.col("q.gy")) & (F.col("p.x0") < F.col("q.x1")) & (F.col("q.x0") < F.col("p.x1"))
     labels = connected_components(p.join(q, meet).select(F.col("p.run").alias("a"), F.col("q.run").alias("b")))

@@ -1,15 +1,18 @@
 """Shapes as rings (G05, T11, T15, build step 9): the boundary of pixel runs, traced per shape.
 
-A shape's runs are grouped, one shape at a time in memory; everything else about shapes stays relational on runs.
+One shape at a time is in memory; everything else about shapes stays relational on runs.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from parcelwright.functions import scalars as S
 from parcelwright.functions.geometry import RINGS
@@ -87,17 +90,42 @@ def signed_area(ring: list[_Point]) -> float:
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)) / 2
 
 
-def to_rings(shaped: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, rings`` in lattice units; a shape's outer ring comes first (shapes are 4-connected)."""
+def _ring_batch(keys: list[str], schema: pa.Schema, shapes: list[tuple[tuple, list]]) -> pa.RecordBatch:
+    points = [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in boundary(runs)] for _, runs in shapes]
+    columns = [pa.array([key[i] for key, _ in shapes], schema.field(k).type) for i, k in enumerate(keys)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(points, schema.field("rings").type)], schema=schema)
+
 
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rings = boundary(list(zip(pdf["gy"], pdf["x0"], pdf["x1"], strict=True)))
-        points = [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]
-        return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "rings": [points]})
+def to_rings(shaped: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, rings`` in lattice units; a shape's outer ring comes first (shapes are 4-connected).
 
+    Shapes are dealt by key and sorted, and each is traced as its runs stream past.
+    """
     kinds = dict(shaped.dtypes)
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), f"rings {RINGS}"])
-    return shaped.select(*keys, "gy", "x0", "x1").groupBy(*keys).applyInPandas(one, schema)
+    out = StructType.fromDDL(", ".join([*(f"{k} {kinds[k]}" for k in keys), f"rings {RINGS}"]))
+    schema = to_arrow_schema(out)
+
+    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple[tuple, list]] = []
+        current: tuple[tuple, list] | None = None
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*keys, "gy", "x0", "x1")]
+            for row in zip(*columns, strict=True):
+                key, run = row[:-3], row[-3:]
+                if current is None or key != current[0]:
+                    if current:
+                        done.append(current)
+                    current = (key, [])
+                current[1].append(run)
+            if len(done) > 500:
+                yield _ring_batch(keys, schema, done)
+                done = []
+        if current:
+            done.append(current)
+        if done:
+            yield _ring_batch(keys, schema, done)
+
+    return shaped.select(*keys, "gy", "x0", "x1").repartition(*keys).sortWithinPartitions(*keys, "gy", "x0").mapInArrow(trace, out)
 
 
 def to_lonlat(rings: F.Column, pixel_m: float) -> F.Column:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 _POLYS = """polys AS (
-  SELECT p_partkey AS pid, (p_partkey % 40) * CAST(30 AS DOUBLE) AS minx, ((p_partkey // 40) % 40) * CAST(30 AS DOUBLE) AS miny,
+  SELECT p_partkey AS pid, (p_partkey % 40) * CAST(30 AS DOUBLE) AS minx, (p_partkey // 40) * CAST(30 AS DOUBLE) AS miny,
     CAST(6 + p_size % 12 AS DOUBLE) AS w, CAST(6 + p_size % 15 AS DOUBLE) AS h, minx + w AS maxx, miny + h AS maxy, w * h AS area,
     CASE WHEN p_partkey % 97 = 0 THEN 'large_component' ELSE 'parcel_scale' END AS size_class
-  FROM part WHERE p_partkey < 1600)"""
+  FROM part)"""
 
 _ROLES = """roles AS (
   SELECT c_custkey AS rid, CAST(c_nationkey AS VARCHAR) AS manzana, c_nationkey || '-' || c_custkey AS rol,
-    CAST(c_custkey // 2 * 7919 % 12007 AS DOUBLE) * CAST(0.1 AS DOUBLE) AS x, CAST(c_custkey // 2 * 104729 % 12011 AS DOUBLE) * CAST(0.1 AS DOUBLE) AS y,
+    CAST(c_custkey // 2 * 7919 % 12007 AS DOUBLE) * CAST(0.1 AS DOUBLE) AS x, CAST(c_custkey // 2 // 30 AS DOUBLE) * 60 + CAST(c_custkey // 2 * 104729 % 601 AS DOUBLE) * CAST(0.1 AS DOUBLE) AS y,
     x / 100000 AS lon, y / 100000 AS lat, c_custkey % 11 <> 0 AS valid, upper(c_mktsegment) || ' ' || c_custkey % 7 AS addr,
     CASE WHEN c_custkey % 13 = 0 THEN 'not_found' WHEN c_custkey % 17 = 0 THEN 'error' ELSE 'ok' END AS status
   FROM customer)"""
@@ -87,11 +87,10 @@ i_{axis} AS (SELECT *, row_number() OVER (PARTITION BY code, run ORDER BY v) - 1
 w_{axis} AS (SELECT code, v AS first, v + (least(n - i, 4) - 1) * 4 AS last, row_number() OVER (PARTITION BY code ORDER BY v) - 1 AS win FROM i_{axis} WHERE i % 3 = 0)"""
 
 
-_MASK = """px AS (
-  SELECT b.r * 3 + c.c AS block_id, i % 64 AS x, i // 64 AS y
-  FROM range(4096) t(i), range(3) b(r), range(3) c(c)
-  WHERE ((i % 64) * (i % 64) + 3 * (i // 64) * (i // 64) + (i % 64) * (i // 64)) % 7 < 4
-    AND i % 64 >= 16 * c.c AND i % 64 < 16 * c.c + 32 AND i // 64 >= 16 * b.r AND i // 64 < 16 * b.r + 32),
+_MASK = """seen AS (
+  SELECT (s_suppkey // 16 - d) * 3 + c AS block_id, x, s_suppkey AS y, (x * x + 3 * s_suppkey * s_suppkey + x * s_suppkey + s_nationkey) % 7 < 4 AS fill
+  FROM supplier, range(64) a(x), range(2) b(d), range(3) e(c) WHERE s_suppkey // 16 >= d AND x >= 16 * c AND x < 16 * c + 32),
+px AS (SELECT block_id, x, y FROM seen WHERE fill),
 isl AS (SELECT *, x - row_number() OVER (PARTITION BY block_id, y ORDER BY x) AS island FROM px),
 bare AS (SELECT block_id, y AS gy, min(x) AS x0, max(x) + 1 AS x1 FROM isl GROUP BY block_id, y, island),
 runs AS (SELECT *, block_id * 1099511627776 + (gy - min(gy) OVER (PARTITION BY block_id)) * 1048576 + x0 - min(x0) OVER (PARTITION BY block_id) AS run FROM bare)"""
@@ -218,6 +217,23 @@ grow(root_id, p, lab) AS (SELECT root_id, p, p FROM upx UNION SELECT g.root_id,
 part AS (SELECT root_id, p, min(lab) AS lab FROM grow GROUP BY root_id, p)
 SELECT root_id, CAST(dense_rank() OVER (PARTITION BY root_id ORDER BY lab) - 1 AS INT) AS part, count(*) AS pixels, CASE WHEN count(*) > 60 THEN 'large_component' ELSE 'parcel_scale' END AS pol_size_class
 FROM part GROUP BY root_id, lab""",
+    "q_holes": f"""WITH RECURSIVE {_SHAPES},
+box AS (SELECT polygon_id, min(gy) AS top, max(gy) AS bottom, min(x0) AS lft, max(x1) AS rgt FROM shapes GROUP BY polygon_id),
+own AS (SELECT polygon_id, gy AS y, unnest(range(x0, x1)) AS x FROM shapes),
+space AS (SELECT polygon_id, y, unnest(range(lft - 1, rgt + 1)) AS x, top, bottom, lft, rgt FROM (SELECT *, unnest(range(top, bottom + 1)) AS y FROM box)),
+gap AS (SELECT polygon_id, x, y, x < lft OR x >= rgt OR y = top OR y = bottom AS open FROM space ANTI JOIN own USING (polygon_id, x, y)),
+flood(polygon_id, x, y) AS (
+  SELECT polygon_id, x, y FROM gap WHERE open UNION
+  SELECT g.polygon_id, g.x, g.y FROM flood f JOIN gap g ON g.polygon_id = f.polygon_id AND abs(g.x - f.x) <= 1 AND abs(g.y - f.y) <= 1),
+hole AS (SELECT polygon_id, x, y FROM gap ANTI JOIN flood USING (polygon_id, x, y)),
+one(polygon_id, x, y, lab) AS (
+  SELECT polygon_id, x, y, y * 64 + x FROM hole UNION
+  SELECT h.polygon_id, h.x, h.y, o.lab FROM one o JOIN hole h ON h.polygon_id = o.polygon_id AND abs(h.x - o.x) <= 1 AND abs(h.y - o.y) <= 1),
+lab2 AS (SELECT polygon_id, x, y, min(lab) AS lab FROM one GROUP BY ALL),
+small AS (SELECT polygon_id, lab, count(*) AS n FROM lab2 GROUP BY ALL HAVING count(*) < 4),
+more AS (SELECT polygon_id, sum(n) AS n FROM small GROUP BY polygon_id)
+SELECT s.polygon_id, CAST(sum(x1 - x0) + coalesce(any_value(n), 0) AS BIGINT) AS pixels FROM shapes s LEFT JOIN more USING (polygon_id) GROUP BY s.polygon_id""",
+    "q_raw_lines": r"""SELECT '{"query_key":"' || conv_id || ':' || turn || '","source":' || coalesce(to_json(role)::VARCHAR, 'null') || ',"response":{"text":' || coalesce(to_json(text)::VARCHAR, 'null') || '},"error":null}' AS line FROM conversations""",
     "q_geometry_keys": f"""WITH RECURSIVE {_SHAPES}
 SELECT polygon_id, substr(sha256(string_agg(gy || ',' || x0 || ',' || x1, ';' ORDER BY gy, x0)), 1, 24) AS geometry_key FROM shapes GROUP BY polygon_id""",
     "q_representative_points": f"""WITH RECURSIVE {_SHAPES},
@@ -226,8 +242,8 @@ o AS (SELECT *, row_number() OVER (PARTITION BY polygon_id ORDER BY gy) - 1 AS i
 m AS (SELECT polygon_id, gy FROM o WHERE i = (n - 1) // 2)
 SELECT polygon_id, (x0 + x1) / 2 AS x, gy + CAST(0.5 AS DOUBLE) AS y FROM shapes JOIN m USING (polygon_id, gy) QUALIFY row_number() OVER (PARTITION BY polygon_id ORDER BY x1 - x0 DESC, x0) = 1""",
     "q_block_metrics": f"""WITH RECURSIVE {_SHAPES},
-f AS (SELECT block_id, count(*) AS fill FROM px GROUP BY block_id), n AS (SELECT block_id, count(DISTINCT polygon_id) AS k FROM shapes GROUP BY block_id)
-SELECT '[' || string_agg('{{"block_id":' || block_id || ',"fill_pixels":' || fill || ',"pixels":1024,"polygons":' || k || '}}', ',' ORDER BY block_id) || ']' AS metrics FROM f JOIN n USING (block_id)""",
+f AS (SELECT block_id, count(*) FILTER (WHERE fill) AS fill, count(*) AS pixels FROM seen GROUP BY block_id), n AS (SELECT block_id, count(DISTINCT polygon_id) AS k FROM shapes GROUP BY block_id)
+SELECT '[' || string_agg('{{"block_id":' || block_id || ',"fill_pixels":' || fill || ',"pixels":' || pixels || ',"polygons":' || coalesce(k, 0) || '}}', ',' ORDER BY block_id) || ']' AS metrics FROM f LEFT JOIN n USING (block_id)""",
     "q_traced": f"""WITH RECURSIVE {_SHAPES}
 SELECT polygon_id, CAST(sum(x1 - x0) AS DOUBLE) AS area, CAST(min(x0) AS DOUBLE) AS minx, CAST(min(gy) AS DOUBLE) AS miny, CAST(max(x1) AS DOUBLE) AS maxx, CAST(max(gy) + 1 AS DOUBLE) AS maxy FROM shapes GROUP BY polygon_id""",
     "q_role_rows": f"""WITH {_STATE}

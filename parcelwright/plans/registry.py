@@ -298,29 +298,29 @@ def fill_mode(spark: SparkSession, d: str) -> DataFrame:
 @query
 def mask_runs(spark: SparkSession, d: str) -> DataFrame:
     """Masks as runs"""
-    return runs.to_runs(views.mask(spark))
+    return runs.to_runs(views.mask(spark, d))
 
 
-def _shapes(spark: SparkSession) -> DataFrame:
-    return stage(runs.components(runs.to_runs(views.mask(spark))), "shapes")
+def _shapes(spark: SparkSession, d: str) -> DataFrame:
+    return stage(runs.components(runs.to_runs(views.mask(spark, d))), "shapes")
 
 
 @query
 def components(spark: SparkSession, d: str) -> DataFrame:
     """Shapes of each block and their size"""
-    return _shapes(spark).groupBy("block_id", "polygon_id").agg(F.count("*").alias("n_runs"), F.sum(F.col("x1") - F.col("x0")).alias("pixels"))
+    return _shapes(spark, d).groupBy("block_id", "polygon_id").agg(F.count("*").alias("n_runs"), F.sum(F.col("x1") - F.col("x0")).alias("pixels"))
 
 
 @query
 def overlap_pairs(spark: SparkSession, d: str) -> DataFrame:
     """J03"""
-    return runs.overlaps(runs.drop_small(_shapes(spark), LATTICE), 1)
+    return runs.overlaps(runs.drop_small(_shapes(spark, d), LATTICE), 1)
 
 
 @query
 def union_area(spark: SparkSession, d: str) -> DataFrame:
     """Merged shapes with area and class"""
-    merged = runs.merge_shapes(runs.drop_small(_shapes(spark), LATTICE), LATTICE)
+    merged = runs.merge_shapes(runs.drop_small(_shapes(spark, d), LATTICE), LATTICE)
     size = merged.groupBy("root_id", "part").agg(F.sum(F.col("x1") - F.col("x0")).alias("pixels"))
     return size.select("root_id", "part", "pixels", runs.size_class(F.col("pixels"), LATTICE).alias("pol_size_class"))
 
@@ -328,32 +328,32 @@ def union_area(spark: SparkSession, d: str) -> DataFrame:
 @query
 def holes(spark: SparkSession, d: str) -> DataFrame:
     """Pixels by shape once small holes are filled"""
-    filled = runs.fill_small_holes(_shapes(spark), LATTICE)
+    filled = runs.fill_small_holes(_shapes(spark, d), LATTICE)
     return filled.groupBy("polygon_id").agg(F.sum(F.col("x1") - F.col("x0")).alias("pixels"))
 
 
 @query
 def geometry_keys(spark: SparkSession, d: str) -> DataFrame:
     """A17 T17"""
-    return runs.geometry_key(_shapes(spark), ["polygon_id"])
+    return runs.geometry_key(_shapes(spark, d), ["polygon_id"])
 
 
 @query
 def representative_points(spark: SparkSession, d: str) -> DataFrame:
     """T13"""
-    return runs.representative_point(_shapes(spark), "polygon_id")
+    return runs.representative_point(_shapes(spark, d), "polygon_id")
 
 
 @query
 def block_metrics(spark: SparkSession, d: str) -> DataFrame:
     """A18 A16"""
-    return runs.block_metrics(views.mask(spark), _shapes(spark))
+    return runs.block_metrics(views.mask(spark, d), _shapes(spark, d))
 
 
 @query
 def traced(spark: SparkSession, d: str) -> DataFrame:
     """Rings of shapes; their area is the pixels'"""
-    rings = trace.to_rings(_shapes(spark), ["polygon_id"])
+    rings = trace.to_rings(_shapes(spark, d), ["polygon_id"])
     return rings.select("polygon_id", geometry.area(F.col("rings")).alias("area"), geometry.bounds(F.col("rings")).alias("b")).select("polygon_id", "area", "b.minx", "b.miny", "b.maxx", "b.maxy")
 
 

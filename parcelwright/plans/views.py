@@ -13,18 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 40 by 40 grid of boxes; every 97th is a large component."""
-    p = table(spark, sf_dir, "part").where("p_partkey < 1600")
+    """All parts as boxes, 40 to a row of as many rows as it takes; every 97th is a large component."""
     k, s = F.col("p_partkey"), F.col("p_size")
-    x, y = (k % 40) * F.lit(30.0), (F.floor(k / 40) % 40) * F.lit(30.0)
+    x, y = (k % 40) * F.lit(30.0), F.floor(k / 40) * F.lit(30.0)
     w, h = (6 + s % 12).cast("double"), (6 + s % 15).cast("double")
-    return p.select(k.alias("_poly_idx"), box(x, y, x + w, y + h).alias("rings"), (w * h).alias("pol_area_m2"), F.when(k % 97 == 0, "large_component").otherwise("parcel_scale").alias("pol_size_class"))
+    return table(spark, sf_dir, "part").select(k.alias("_poly_idx"), box(x, y, x + w, y + h).alias("rings"), (w * h).alias("pol_area_m2"), F.when(k % 97 == 0, "large_component").otherwise("parcel_scale").alias("pol_size_class"))
 
 
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as roles; pairs share a point, every 11th has no valid one."""
+    """Customers as roles, spread over the rows of boxes; pairs share a point, every 11th has no valid one."""
     c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
-    x, y = (F.floor(k / 2) * 7919 % 12007) * F.lit(0.1), (F.floor(k / 2) * 104729 % 12011) * F.lit(0.1)
+    h = F.floor(k / 2)
+    x, y = (h * 7919 % 12007) * F.lit(0.1), F.floor(h / 30) * F.lit(60.0) + (h * 104729 % 601) * F.lit(0.1)
     status = F.when(k % 13 == 0, "not_found").when(k % 17 == 0, "error").otherwise("ok")
     return c.select(
         k.alias("rid"), F.col("c_nationkey").cast("string").alias("manzana"), F.concat(F.col("c_nationkey").cast("string"), F.lit("-"), k.cast("string")).alias("rol"), x.alias("x"), y.alias("y"),
@@ -33,23 +33,25 @@ def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored answers for the polygons that are divisible by 3."""
+    """What is stored of each polygon: an answer for those that are divisible by 3, the others are still to be asked."""
     k = F.col("p_partkey")
     found = k % 6 == 0
-    return table(spark, sf_dir, "part").where("p_partkey < 1600 and p_partkey % 3 = 0").select(
-        F.substring(F.sha2(k.cast("string").cast("binary"), 256), 1, 24).alias("geometry_key"), F.when(found, "ok").when(k % 9 == 0, "error").otherwise("not_found").alias("status"), F.lit(1).alias("attempts"), F.lit("2026-01-01T00:00:00Z").alias("queried_at"),
-        F.when(found, F.lit("900")).alias("manzana"), F.when(found, k.cast("string")).alias("predio"), F.when(found, F.concat(F.lit("900-"), k.cast("string"))).alias("rol"),
+    return table(spark, sf_dir, "part").select(
+        F.substring(F.sha2(k.cast("string").cast("binary"), 256), 1, 24).alias("geometry_key"), F.when(k % 3 != 0, "pending").when(found, "ok").when(k % 9 == 0, "error").otherwise("not_found").alias("status"),
+        F.when(k % 3 != 0, 0).otherwise(1).alias("attempts"), F.lit("2026-01-01T00:00:00Z").alias("queried_at"), F.when(found, F.lit("900")).alias("manzana"), F.when(found, k.cast("string")).alias("predio"),
+        F.when(found, F.concat(F.lit("900-"), k.cast("string"))).alias("rol"),
     )
 
 
-def mask(spark: SparkSession) -> DataFrame:
-    """A 64 by 64 fill mask, seen through nine overlapping blocks of 32 by 32 pixels, 16 apart."""
-    i = F.col("id")
-    x, y = (i % 64).cast("int"), F.floor(i / 64).cast("int")
-    pixels = spark.range(4096).select(x.alias("x"), y.alias("y"), ((x * x + 3 * y * y + x * y) % 7 < 4).alias("fill"))
-    blocks = F.explode(F.array(*[F.struct(F.lit(3 * r + c).cast("long").alias("b"), F.lit(16 * c).alias("x"), F.lit(16 * r).alias("y")) for r in range(3) for c in range(3)]))
-    seen = pixels.withColumn("o", blocks).where((F.col("x") >= F.col("o.x")) & (F.col("x") < F.col("o.x") + 32) & (F.col("y") >= F.col("o.y")) & (F.col("y") < F.col("o.y") + 32))
-    return seen.select(F.col("o.b").alias("block_id"), "x", "y", "fill")
+def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fill mask of 64 pixels by as many rows as there are suppliers, seen through overlapping blocks of 32 by 32 pixels, 16 apart."""
+    n, y = table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("int")
+    pixels = n.select(y.alias("y"), F.col("s_nationkey").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("x"))
+    pixels = pixels.select("x", "y", ((F.col("x") * F.col("x") + 3 * F.col("y") * F.col("y") + F.col("x") * F.col("y") + F.col("n")) % 7 < 4).alias("fill"))
+    r = F.floor(F.col("y") / 16)
+    seen = pixels.withColumn("r", F.explode(F.array(r, r - 1))).withColumn("c", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    seen = seen.where((F.col("r") >= 0) & (F.col("x") >= F.col("c") * 16) & (F.col("x") < F.col("c") * 16 + 32))
+    return seen.select((F.col("r") * 3 + F.col("c")).cast("long").alias("block_id"), "x", "y", "fill")
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
