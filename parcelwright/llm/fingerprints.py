@@ -107,7 +107,10 @@ def to_text(fp: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: the share of segments in common, estimated from the two fingerprints; 1 where the exact parts agree."""
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: _likeness(s["a"], s["b"]))
 
+
+def _likeness(a: Column, b: Column) -> Column:
     def dot(p: Column, q: Column, p_n: Column, q_n: Column) -> Column:
         signed = lambda lane, n: (lane * 2 - n).cast("double")
         pair = lambda x, y: reduce(lambda s, t: s + t, [signed(u, p_n) * signed(v, q_n) for u, v in zip(_halves(x), _halves(y), strict=True)])
