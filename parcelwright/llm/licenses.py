@@ -1,8 +1,8 @@
 """License scans (native): ordered signature rules over normalised words.
 
 A rule is a regular expression over the text's words (lower-case ASCII, one space between words), with a keyword, a
-priority (its place in ``RULES``), a label and a weight. Only texts that hold a stem are normalised, and only rules whose
-keyword occurs are run. For that, every word is followed by its number, which the patterns skip, so a match says at which
+priority (its place in ``RULES``), a label and a weight. Only texts that hold one of the rules' anchors, words of which
+every match has one, are normalised, and only rules whose keyword occurs are run. For that, every word is followed by its number, which the patterns skip, so a match says at which
 words it begins and ends, and finding all places takes time linear in the text. Detections are word intervals: one that
 lies inside another is suppressed (of equal intervals the rule of higher priority stays), and of two neighbours that
 overlap in part the one of higher priority stays. Everything happens inside a row: no shuffle at all.
@@ -11,7 +11,8 @@ overlap in part the one of higher priority stays. Everything happens inside a ro
 from __future__ import annotations
 
 import re
-from functools import cache, reduce
+from functools import cache
+from os.path import commonprefix
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -49,14 +50,14 @@ NAMES = (
     ("gpl-3", "general public", rf"(?:gnu )?general public license {_V}3(?: 0)?", r"gpl 3 0(?: only| or later)?"),
     ("gpl-2", "general public", rf"(?:gnu )?general public license {_V}2(?: 0)?", r"gpl 2 0(?: only| or later)?"),
     ("gpl-1", "general public", rf"(?:gnu )?general public license {_V}1(?: 0)?", r"gpl 1 0(?: only| or later)?"),
-    ("gpl-3", "gpl", rf"(?:gnu )?gpl ?{_V}3(?: 0)?", r"gplv3"),
-    ("gpl-2", "gpl", rf"(?:gnu )?gpl ?{_V}2(?: 0)?", r"gplv2"),
+    ("gpl-3", "gpl", rf"(?:gnu )?(?:gpl {_V}3|gplv3|gpl3)(?: 0)?", r"gplv3"),
+    ("gpl-2", "gpl", rf"(?:gnu )?(?:gpl {_V}2|gplv2|gpl2)(?: 0)?", r"gplv2"),
     ("lgpl-3", "lesser", rf"(?:gnu )?lesser general public license {_V}3(?: 0)?", r"lgpl 3 0(?: only| or later)?"),
     ("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public license {_V}2 1", r"lgpl 2 1(?: only| or later)?"),
     ("lgpl-2", "library", rf"(?:gnu )?library general public license {_V}2(?: 0)?", r"lgpl 2 0(?: only| or later)?"),
-    ("lgpl-3", "lgpl", rf"(?:gnu )?lgpl ?{_V}3(?: 0)?", r"lgplv3"),
+    ("lgpl-3", "lgpl", rf"(?:gnu )?(?:lgpl {_V}3|lgplv3|lgpl3)(?: 0)?", r"lgplv3"),
     ("agpl-3", "affero", rf"(?:gnu )?affero general public license {_V}3(?: 0)?", r"agpl 3 0(?: only| or later)?"),
-    ("agpl-3", "agpl", rf"(?:gnu )?agpl ?{_V}3(?: 0)?", r"agplv3"),
+    ("agpl-3", "agpl", rf"(?:gnu )?(?:agpl {_V}3|agplv3|agpl3)(?: 0)?", r"agplv3"),
     ("gfdl-1.3", "documentation", rf"(?:gnu )?free documentation license {_V}1 3", r"gfdl 1 3(?: only| or later)?"),
     ("gfdl-1.2", "documentation", rf"(?:gnu )?free documentation license {_V}1 2", r"gfdl 1 2(?: only| or later)?"),
     ("bsd-2", "bsd", r"(?:2 clause|two clause|simplified|freebsd) bsd|bsd (?:2 clause|two clause)", r"bsd 2 clause"),
@@ -68,8 +69,8 @@ NAMES = (
     ("epl-2", "eclipse", rf"eclipse public license {_V}2(?: 0)?", r"epl 2 0"),
     ("epl-1", "eclipse", rf"eclipse public license {_V}1(?: 0)?", r"epl 1 0"),
     ("cddl-1", "development", rf"common development and distribution license {_V}1(?: 0)?", r"cddl 1 0"),
-    ("eupl-1.2", "european", rf"european union public licen[cs]e {_V}1 2", r"eupl 1 2"),
-    ("eupl-1.1", "european", rf"european union public licen[cs]e {_V}1 1", r"eupl 1 1"),
+    ("eupl-1.2", "european", rf"european union public (?:license|licence) {_V}1 2", r"eupl 1 2"),
+    ("eupl-1.1", "european", rf"european union public (?:license|licence) {_V}1 1", r"eupl 1 1"),
     ("isc", "isc", r"isc", r"isc"),
     ("zlib", "zlib", r"zlib(?: libpng)?", r"zlib"),
     ("bsl-1", "boost", rf"boost software license(?: {_V}1(?: 0)?)?", r"bsl 1 0"),
@@ -106,36 +107,104 @@ COMMONS = (
 _GRANT = r"(?:(?:is |are )?(?:licensed|released|distributed|published|available|provided|offered|covered)(?: to you)? )?under (?:the )?(?:terms of )?(?:the |an |a )?"
 
 
-def literals(regex: str) -> list[str]:
-    """The strings that every match of a rule holds: what is left without groups, classes and optional letters."""
-    plain, depth = [], 0
-    for part in re.findall(r"\[[^\]]*\]|\{\d*,?\d*\}|[()?|]|[^\[\](){}?|]+", regex):
-        depth += (part == "(") - (part == ")")
-        if depth == 0 and part == "|":
-            raise ValueError(f"an alternation needs a group: {regex}")
-        if depth == 0 and part == "?" and plain and len(plain[-1]) > 1:
-            plain[-1] = plain[-1][:-1]
-        plain.append(part if depth == 0 and part[0] not in "[(){?" else "\n")
-    return [x.strip(" ") for x in "".join(plain).split("\n") if x.strip(" ")]
+#: What rare words hold: a rule's anchor is one of them if it can be.
+TELLING = ("licen", "gpl", "copyright", "warrant", "redistribut", "spdx", "trademark", "disclaim", "permission")
+#: Words that many texts hold: anchors only where a rule has no other word.
+SHORT = frozenset(("cc", "cc0", "gpl", "bsd", "isc"))
+COMMON = frozenset("under new old original general public software provided return conditions products government project received community available business information of only see just kind any for the and with use this that not may by is as shall think called larger used obtain stuff package document contains open derived".split())
+
+
+class Part(NamedTuple):
+    """A piece of a rule's expression: a literal, or the alternatives of a group; ``needed`` if every match has it."""
+
+    text: str
+    options: tuple[tuple[Part, ...], ...]
+    needed: bool
+
+
+_TOKEN = re.compile(r"\[[^\]]*\]|\{w\}|\{\d+,\d+\}|\(\?:|[()?|]|[^\[\](){}?|]")
+
+
+def parts(regex: str) -> tuple[tuple[Part, ...], ...]:
+    """The alternatives of an expression, which may use groups, ``|``, ``?``, ``{m,n}``, classes and ``{w}``, each a row of parts."""
+    stack: list[list[list[Part]]] = [[[]]]
+    for token in _TOKEN.findall(regex):
+        row = stack[-1][-1]
+        if token in ("(?:", "("):
+            stack.append([[]])
+        elif token == "|":
+            stack[-1].append([])
+        elif token == ")":
+            options = tuple(map(tuple, stack.pop()))
+            stack[-1][-1].append(Part("", options, True))
+        elif token == "?" or token[0] == "{" and token[1].isdigit():
+            row[-1] = row[-1]._replace(needed=token[:2] == "{1")
+        elif token[0] in "[{":
+            row.append(Part("\n", (), True))  # any character or word
+        else:
+            row.append(Part(token, (), True))
+    return tuple(map(tuple, stack[0]))
+
+
+def _edge(row: tuple[Part, ...], last: bool) -> bool:
+    """Whether whatever a row matches begins (or ends) with a space, or is empty."""
+    for part in reversed(row) if last else row:
+        if part.options:
+            if not all(_edge(o, last) for o in part.options):
+                return False
+        elif part.text != " ":
+            return False
+        if part.needed:
+            return True
+    return True
+
+
+def literals(row: tuple[Part, ...]) -> list[str]:
+    """The strings that every match of a row of parts holds; whole words are those between spaces."""
+    text = [" " if not row or row[0].options == () and row[0].needed else "\n"]
+    for k, part in enumerate(row):
+        if part.options:
+            text.append(("" if _edge(row[:k], True) else "\n") + " \n " if all(_edge(o, False) and _edge(o, True) for o in part.options) else " \n" if all(_edge(o, False) for o in part.options) else "\n " if all(_edge(o, True) for o in part.options) else "\n")
+        else:
+            text.append(part.text if part.needed else "\n")
+    return [x for x in ("".join(text) + " ").split("\n") if x.strip(" ")]
+
+
+def anchors(row: tuple[Part, ...]) -> frozenset[str]:
+    """Words of which every match of a row of parts holds one: a whole word that it needs, or of each of a group's
+    alternatives one, whichever is rarer; empty if there are none."""
+    found = [frozenset([w]) for text in literals(row) for w in text.split(" ")[1:-1] if w]
+    for part in row:
+        if part.options and part.needed and all(inside := [anchors(o) for o in part.options]):
+            found.append(frozenset().union(*inside))
+    cost = lambda words: (max(2 if w in COMMON or len(w) <= 3 and w not in SHORT else 0 if any(t in w for t in TELLING) else 1 for w in words), len(words), -max(map(len, words)))
+    return min(found, key=cost, default=frozenset())
 
 
 def keyword_of(regex: str) -> str:
-    """The longest string that every match of a rule holds."""
-    return max(literals(regex), key=len)
+    """The longest string that every match of a rule holds, be it what a group's alternatives begin with."""
+    rows = parts(regex)
+    if len(rows) > 1:
+        raise ValueError(f"an alternation needs a group: {regex}")
+    shared = [commonprefix(["".join(p.text if p.needed and not p.options else "\n" for p in o).split("\n")[0] for o in part.options]) for part in rows[0] if part.options and part.needed]
+    return max((x.strip(" ") for x in (*literals(rows[0]), *shared)), key=len)
 
 
 def _rules() -> tuple[Rule, ...]:
     out = [Rule(label, f"spdx license identifier (?:{spdx})", "spdx license identifier", 1.0) for label, _, _, spdx in NAMES]
     for label, short, _ in COMMONS:
         out.append(Rule(label, f"spdx license identifier cc {short}(?: [1-4] [05])?", "spdx license identifier cc", 1.0))
-        out.append(Rule(label, rf"{_GRANT}(?:creative commons |cc ){short}(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", short, 0.97))
+        out.append(Rule(label, rf"{_GRANT}(?:creative commons |cc ){short}(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", "under" if short == "by" else short, 0.97))
         out.append(Rule(label, rf"creativecommons org licenses {short}(?: [1-4] [05])?", "creativecommons org licenses", 0.95))
     for label, _, full in COMMONS:
         out.append(Rule(label, rf"creative commons (?:{full})(?: {_V}[1-4] [05])?(?: international| unported)?(?: licen[cs]e)?", "creative commons", 0.95))
     out += [Rule(label, regex, keyword_of(regex), weight) for label, weight, regex in SIGNATURES if weight >= 0.9]
-    out += [Rule(label, rf"{_GRANT}(?:{name})(?: licen[cs]e)?(?: {_V}[0-9](?: [0-9])?)?(?: or (?:any )?later(?: version)?)?", keyword, 0.95) for label, keyword, name, _ in NAMES]
+    # mit is a word of other languages, so there it takes the word license, or what is done under it
+    grant = lambda label: "(?: (?:license|licence))" + "?" * (label not in ("mit", "mit-0"))
+    out += [Rule(label, rf"{_GRANT}(?:{name}){grant(label)}(?: {_V}[0-9](?: [0-9])?)?(?: or (?:any )?later(?: version)?)?", keyword, 0.95) for label, keyword, name, _ in NAMES]
+    out.append(Rule("mit", r"(?:licensed|released|distributed|published) under (?:the )?mit", "under", 0.95))
     out += [Rule(label, rf"(?:opensource org licenses|spdx org licenses) (?:{spdx})", "org licenses", 0.9) for label, _, _, spdx in NAMES]
-    out += [Rule(label, rf"(?:{name}) licen[cs]e", keyword, 0.8) for label, keyword, name, _ in NAMES]
+    out += [Rule(label, rf"(?:{name}) (?:license|licence)", keyword, 0.8) for label, keyword, name, _ in NAMES]
     out += [Rule(label, name, keyword, 0.7) for label, keyword, name, _ in NAMES if "licen" in name or "gpl" in name]
     out += [Rule(label, f"cc {short}(?: {_V}[1-4] [05])?", f"cc {short}", 0.8) for label, short, _ in COMMONS]
     out += [Rule(label, regex, keyword_of(regex), weight) for label, weight, regex in SIGNATURES if weight < 0.9]
@@ -144,28 +213,13 @@ def _rules() -> tuple[Rule, ...]:
 
 
 RULES = _rules()
-#: A text in which none of these occurs, nor a pair, can match no rule.
-STEMS = (
-    "licen", "ware", "copyright", "copyleft", "warrant", "permission", "distribut", "commons", "gpl", "gnu", "domain", "spdx", "apache", "mozilla", "bsd", "cecill", "ncsa", "wtfpl", "cc0", "trademark", "patent", "consortium",
-    "opensolaris", "gutenberg", "commercial", "derechos", "droits", "rechte", "reproduced", "prohibited", "decompile", "derivative", "fuck", "confidential", "invariant", "opendatacommons", "beer", "damages",
-    "prominent", "library", "exception", "restrictions", "government", "mulan", "lizenz", "certificate", "evaluation", "installing", "copying", "provided",
-)
-#: Words in a row, for rules that hold no stem.
-CC_BY = rf"cc{SEPARATORS}by"
-UNDER = rf"under{SEPARATORS}(?:the{SEPARATORS}|terms{SEPARATORS}|of{SEPARATORS}|an?{SEPARATORS})*[0-9a-z]"
-_NAMED = sorted({k.split(" ")[0] for _, k, _, _ in NAMES})
+#: Every match of a rule holds one of these words, so a text without them can match none.
+ANCHORS = frozenset().union(*[anchors(row) for r in RULES for row in parts(r.regex)])
 
 
-def _gate(text: Column) -> Column:
-    """Whether any rule may match: cheap substring tests, the word pairs only where a first word and a name occur."""
-
-    def test(low: Column) -> Column:
-        has = lambda s: F.contains(low, F.lit(s))
-        any_of = lambda tests: reduce(lambda a, b: a | b, tests)
-        under = has("under") & any_of([has(k) for k in _NAMED]) & low.rlike(UNDER)
-        return any_of([has(s) for s in STEMS]) | (has("cc") & low.rlike(CC_BY)) | under
-
-    return let(F.lower(text), test)
+def words_of(text: Column) -> Column:
+    """The words of a text in lower case (of any script, which the rules don't mind)."""
+    return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
 
 
 def normalise(text: Column) -> Column:
@@ -256,7 +310,10 @@ def scan(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     empty = F.array().cast(f"array<{_HIT}>")
 
-    looked = docs.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.when(_gate(text), let(normalise(text), lambda n: F.struct(n.alias("norm"), numbered(n).alias("words")))).alias("s"))
+    held = let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.arrays_overlap(w, F.array(*[F.lit(a) for a in sorted(ANCHORS)])).alias("gate")))
+    looked = docs.select("doc_id", text.alias("text"), held.alias("held"))
+    normal = let(normalise(F.col("text")), lambda n: F.struct(n.alias("norm"), numbered(n).alias("words")))
+    looked = looked.select("doc_id", "held.n_words", F.when(F.col("held.gate"), normal).alias("s"))
     base = F.array(*[F.struct(F.lit(label).alias("label"), _places(F.col("s.words"), phrase).alias("at")) for phrase, label in BASE])
     looked = looked.select("doc_id", "n_words", F.when(F.col("s").isNotNull(), F.struct(base.alias("base"), _detections("s").alias("detections"))).alias("s"))
     starts = F.coalesce(F.flatten(F.transform("s.base", lambda b: F.transform(b["at"], lambda p: p["first"]))), F.array().cast("array<int>"))

@@ -42,7 +42,6 @@ SIGNATURES: tuple[tuple[str, float, str], ...] = (
     ("unlicense", 0.95, r"anyone is free to copy modify publish use compile sell or distribute this software"),
     ("unlicense", 0.92, r"in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest"),
     ("wtfpl", 0.97, r"do what the fuck you want to public license"),
-    ("wtfpl", 0.95, r"you just do what the fuck you want to"),
     ("cc0", 0.95, r"to the extent possible under law (?:{w} ){0,8}has waived all copyright and related or neighboring rights"),
     ("cc0", 0.95, r"creativecommons org publicdomain zero 1 0"),
     ("cc0", 0.9, r"cc0(?: 1 0)?(?: universal)?"),
@@ -210,40 +209,40 @@ SIGNATURES: tuple[tuple[str, float, str], ...] = (
     ("all-rights-reserved", 0.5, r"alle rechte vorbehalten"),
     ("proprietary", 0.7, r"confidential and proprietary(?: information)?"),
     ("proprietary", 0.7, r"proprietary and confidential(?: information)?"),
-    ("proprietary", 0.5, r"(?:proprietary|commercial|closed source) licen[cs]e"),
-    ("proprietary", 0.7, r"end user licen[cs]e agreement"),
+    ("proprietary", 0.5, r"(?:proprietary|commercial|closed source) (?:license|licence)"),
+    ("proprietary", 0.7, r"end user (?:license|licence) agreement"),
     ("proprietary", 0.7, r"by installing (?:copying )?or (?:otherwise )?using (?:this|the) (?:software|product) you agree to be bound by"),
     ("proprietary", 0.7, r"you may not reverse engineer decompile or disassemble"),
     ("proprietary", 0.6, r"this software contains (?:trade secrets|confidential information)"),
-    ("non-commercial", 0.6, r"for (?:personal (?:and |or ))?non ?commercial (?:use|purposes) only"),
+    ("non-commercial", 0.6, r"for (?:personal (?:and |or ))?(?:non commercial|noncommercial) (?:use|purposes) only"),
     ("non-commercial", 0.6, r"for (?:academic|educational|research) (?:use|purposes) only and not for redistribution"),
     ("no-derivatives", 0.6, r"no derivative works(?: are)?(?: allowed| permitted)?"),
     ("evaluation", 0.6, r"for evaluation (?:use|purposes) only"),
     ("freeware", 0.5, r"this (?:software|program) is freeware"),
     ("shareware", 0.5, r"this (?:software|program) is shareware"),
-    ("dual-license", 0.6, r"(?:dual|triple|multi) licen[cs]ed under"),
+    ("dual-license", 0.6, r"(?:dual|triple|multi) (?:licensed|licenced) under"),
     ("dual-license", 0.6, r"alternatively (?:this (?:{w} ){1,3}may be|you may|the contents of this file may be) (?:distributed|used|use this (?:{w} ){1,2})under the terms of"),
-    ("see-license", 0.4, r"see (?:the )?(?:file )?licen[cs]e(?: (?:txt|md|file))? for (?:details|more information|terms|licensing information)"),
+    ("see-license", 0.4, r"see (?:the )?(?:file )?(?:license|licence)(?: (?:txt|md|file))? for (?:details|more information|terms|licensing information)"),
     ("see-license", 0.4, r"see (?:the )?(?:file )?copying(?: (?:txt|lib|lesser))? for (?:details|more information|copying conditions)"),
-    ("see-license", 0.4, r"refer to the licen[cs]e(?: agreement)? for (?:details|terms|more information)"),
+    ("see-license", 0.4, r"refer to the (?:license|licence)(?: agreement)? for (?:details|terms|more information)"),
     ("warranty-disclaimer", 0.4, r"(?:this|the) (?:software|program|work|material|data) is provided (?:by the (?:copyright holders|authors|regents) and contributors )?as is(?: and any express or implied warranties)?(?: without (?:any )?warranty(?: of any kind)?)?"),
     ("warranty-disclaimer", 0.4, r"implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
     ("warranty-disclaimer", 0.4, r"there is no warranty for the program to the extent permitted by applicable law"),
-    ("warranty-disclaimer", 0.4, r"(?:no|without) (?:any )?warrant(?:y|ies) of any kind(?: either)?(?: express or implied| expressed or implied)?"),
+    ("warranty-disclaimer", 0.4, r"(?:no|without) (?:any )?(?:warranty|warranties) of any kind(?: either)?(?: express or implied| expressed or implied)?"),
     ("patent-grant", 0.5, r"perpetual worldwide non exclusive (?:no charge )?royalty free (?:irrevocable )?patent license"),
-    ("cla", 0.5, r"contributor licen[cs]e agreement"),
+    ("cla", 0.5, r"contributor (?:license|licence) agreement"),
     ("dco", 0.5, r"developer certificate of origin"),
-    ("trademark", 0.4, r"(?:is|are) (?:a )?(?:registered )?trademarks? of (?:{w} ){0,3}(?:inc|corporation|corp|ltd|llc|foundation)"),
+    ("trademark", 0.4, r"(?:is|are) (?:a )?(?:registered )?(?:trademark|trademarks) of (?:{w} ){0,3}(?:inc|corporation|corp|ltd|llc|foundation)"),
     # names without a version
-    ("gpl", 0.6, r"(?:gnu )?general public licen[cs]e"),
-    ("lgpl", 0.6, r"(?:gnu )?(?:lesser|library) general public licen[cs]e"),
-    ("agpl", 0.6, r"(?:gnu )?affero general public licen[cs]e"),
-    ("gfdl", 0.6, r"(?:gnu )?free documentation licen[cs]e"),
-    ("bsd", 0.6, r"bsd(?: style)? licen[cs]e"),
-    ("apache", 0.6, r"apache (?:software )?licen[cs]e"),
-    ("mpl", 0.6, r"mozilla public licen[cs]e"),
-    ("epl", 0.6, r"eclipse public licen[cs]e"),
-    ("cc", 0.5, r"creative commons licen[cs]e"),
+    ("gpl", 0.6, r"(?:gnu )?general public (?:license|licence)"),
+    ("lgpl", 0.6, r"(?:gnu )?(?:lesser|library) general public (?:license|licence)"),
+    ("agpl", 0.6, r"(?:gnu )?affero general public (?:license|licence)"),
+    ("gfdl", 0.6, r"(?:gnu )?free documentation (?:license|licence)"),
+    ("bsd", 0.6, r"bsd(?: style)? (?:license|licence)"),
+    ("apache", 0.6, r"apache (?:software )?(?:license|licence)"),
+    ("mpl", 0.6, r"mozilla public (?:license|licence)"),
+    ("epl", 0.6, r"eclipse public (?:license|licence)"),
+    ("cc", 0.5, r"creative commons (?:license|licence)"),
     ("copyleft", 0.4, r"copyleft(?: licen[cs]e)?"),
-    ("open-source", 0.3, r"osi approved(?: open source)? licen[cs]e"),
+    ("open-source", 0.3, r"osi approved(?: open source)? (?:license|licence)"),
 )
