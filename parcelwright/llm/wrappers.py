@@ -89,7 +89,12 @@ def _names(tokens: list[str], words: frozenset[str]) -> bool:
 
 
 def _element(tag: str, attrs: str, parent_tag: str, parent: Nature) -> tuple[str, Nature]:
-    """Signature and nature of an element."""
+    """Signature and nature of an element; those of short tags are kept, as they recur."""
+    return (_element_again if len(attrs) <= 200 else _element_again.__wrapped__)(tag, attrs, parent_tag, parent)
+
+
+@lru_cache(maxsize=20_000)
+def _element_again(tag: str, attrs: str, parent_tag: str, parent: Nature) -> tuple[str, Nature]:
     classes = ident = role = ""
     hidden = False
     if attrs and attrs.strip(" /"):
@@ -201,22 +206,30 @@ class Tokens:
         The value of a tag is its name; ``attributes`` are those of an opening tag, none where a quote is never closed.
         """
         page = self.page
+        kind = page[start + 1 : start + 2]
+        if kind != "!" and kind != "?":
+            return self.tag(start, kind == "/")
         if page.startswith("<!--", start):
             end = self.find("-->", start + 4)
             return (end + 3 if end >= 0 else len(page), "", "")
         if page.startswith("<![CDATA[", start):
             end = self.find("]]>", start + 9)
             return (end + 3, "cdata", page[start + 9 : end]) if end >= 0 else (len(page), "cdata", page[start + 9 :])
-        if page.startswith(("<!", "<?"), start):
-            end = self.find(">", start + 2)
-            return (end + 1, "", "") if end >= 0 else None
-        closing = page.startswith("</", start)
+        end = self.find(">", start + 2)
+        return (end + 1, "", "") if end >= 0 else None
+
+    def tag(self, start: int, closing: bool) -> tuple[int, str, str] | None:
+        page = self.page
         name = NAME.match(page, start + 1 + closing)
         first = self.find(">", name.end()) if name else -1
         if first < 0:
             return None
         if closing:
             return first + 1, "close", name[0]
+        between = page[name.end() : first]
+        if '"' not in between and "'" not in between:
+            self.attributes = between
+            return first + 1, "open", name[0]
         end = self.tag_end(name.end())
         self.attributes = page[name.end() : end] if end >= 0 else ""
         return (end if end >= 0 else first) + 1, "open", name[0]
@@ -237,9 +250,11 @@ def parse(page: str) -> tuple[Tree, list[Block]]:
     def flush() -> None:
         nonlocal link_chars
         if buffer:
-            text = " ".join(html_lib.unescape("".join(buffer)).split())
+            text = "".join(buffer)
+            text = " ".join((html_lib.unescape(text) if "&" in text else text).split())
             if text:
-                found.append(Block(stack[-1][0], text, link_chars / len(text), *stack[-1][2:]))
+                node, _, nature, element = stack[-1]
+                found.append(Block(node, text, link_chars / len(text), nature, element))
             buffer.clear()
         link_chars = 0
 
@@ -314,7 +329,9 @@ def parse(page: str) -> tuple[Tree, list[Block]]:
             in_link += 1
     flush()
     tree, place = preorder(sigs, children)
-    return tree, [b._replace(node=place[b.node]) for b in found]
+    if place != list(range(len(place))):
+        found = [b._replace(node=place[b.node]) for b in found]
+    return tree, found
 
 
 def slots(found: list[Block]) -> list[int]:
