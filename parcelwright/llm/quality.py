@@ -17,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwright.llm.text import let, words
+from parcelwright.llm.text import let, n_of, words
 from parcelwright.plans.staging import stage
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
-SYMBOLS = r"[#*$%&|<>]"
-MARKS = r"[!-/:-@\[-`{-~]"
+SYMBOLS = "#*$%&|<>"
+MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum())
 #: Characters that are ASCII punctuation or symbols, of 1000 in words; hundredths of a character by word; lines equal to
 #: an earlier one, of 100, where there are any.
 METRICS = ("marks_per_1000", "word_hundredths", "dup_lines_percent")
@@ -63,8 +63,8 @@ def features(text: Column) -> Column:
     return let(
         F.struct(let(words(text), counts).alias("w"), let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d"))).alias("l")),
         lambda s: F.struct(
-            s["w"]["n_words"].alias("n_words"), s["w"]["word_chars"].alias("word_chars"), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-            F.regexp_count(text, F.lit(MARKS)).cast("long").alias("n_marks"),
+            s["w"]["n_words"].alias("n_words"), s["w"]["word_chars"].alias("word_chars"), n_of(text, SYMBOLS).alias("n_symbols"),
+            n_of(text, MARKS).alias("n_marks"),
             (s["l"]["n"] - s["l"]["d"]).cast("long").alias("n_dup_lines"), s["w"]["n_repeat_words"].alias("n_repeat_words"), s["l"]["n"].cast("long").alias("n_lines"),
         ),
     )

@@ -23,7 +23,12 @@ def words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+    return F.size(words(text)).cast("long")
+
+
+def n_of(text: Column, characters: str) -> Column:
+    """How many characters of a text are among ``characters``."""
+    return (F.char_length(text) - F.char_length(F.translate(text, characters, ""))).cast("long")
 
 
 def block(array: Column, i: Column, size: int) -> Column:
