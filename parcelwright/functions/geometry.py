@@ -30,6 +30,22 @@ def area(rings: Column) -> Column:
     return F.aggregate(F.transform(rings, lambda r, i: F.when(i == 0, ring_area(r)).otherwise(-ring_area(r))), F.lit(0.0), lambda t, v: t + v)
 
 
+def valid(rings: Column) -> Column:
+    """Whether every ring has three distinct corners and an area, and the holes leave some of the outer one.
+
+    Rings that cross themselves are not looked for: those traced from pixels never do.
+    """
+    corners = lambda r: F.size(F.array_distinct(F.transform(r, lambda p: F.concat_ws(",", p["x"], p["y"])))) >= 3
+    return F.coalesce((F.size(rings) > 0) & F.forall(rings, lambda r: corners(r) & (ring_area(r) > 0)) & (area(rings) > 0), F.lit(False))
+
+
+def repaired(rings: Column) -> Column:
+    """Without the rings that have no area, and without repeated corners in a row; null if nothing is left."""
+    tidy = F.transform(rings, lambda r: F.filter(r, lambda p, i: (i == 0) | ~F.coalesce((p["x"] == F.get(r, i - 1)["x"]) & (p["y"] == F.get(r, i - 1)["y"]), F.lit(False))))
+    kept = F.filter(tidy, lambda r: (F.size(r) >= 3) & (ring_area(r) > 0))
+    return F.when(F.size(kept) > 0, kept)
+
+
 def bounds(rings: Column) -> Column:
     of = lambda name, f: f(F.transform(rings[0], lambda p: p[name]))
     return F.struct(of("x", F.array_min).alias("minx"), of("y", F.array_min).alias("miny"), of("x", F.array_max).alias("maxx"), of("y", F.array_max).alias("maxy"))

@@ -46,7 +46,7 @@ _ASCII_BLANK = r"[\x09-\x0D\x1C-\x20]+"
 
 def normalize_name(text: Column) -> Column:
     """ASCII, upper case, single spaces."""
-    return F.trim(F.regexp_replace(F.upper(to_ascii(text)), _ASCII_BLANK, " "))
+    return F.array_join(F.array_remove(F.split(F.upper(to_ascii(text)), _ASCII_BLANK), ""), " ")
 
 
 def slug(text: Column) -> Column:
@@ -55,6 +55,12 @@ def slug(text: Column) -> Column:
     return F.replace(F.trim(F.regexp_replace(plain, _ASCII_BLANK, " ")), F.lit(" "), F.lit("_"))
 
 
+def slug_of(text: str) -> str:
+    """T02 on the driver, for names of folders."""
+    plain = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower().replace("'", "")
+    return "_".join(plain.split())
+
+
 def label_slug(text: Column) -> Column:
     """Lower case, letters of any script kept, other signs dropped, 120 characters; null counts as empty."""
     low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
@@ -62,10 +68,14 @@ def label_slug(text: Column) -> Column:
     return F.substring(F.regexp_replace(F.regexp_replace(kept, r"(?U)[\s-]+", "_"), r"^_+|_+$", ""), 1, 120)
 
 
+# The suffixes of an address that name a unit or a storage room.
+UNIT_SUFFIX, STORAGE_SUFFIX = r"\s+[A-E]?DP\s+\d+\w*.*$", r"\s+B[XD]\s+\d+.*$"
+
+
 def normalize_address(text: Column) -> Column:
     """Upper case without unit and storage suffixes, single spaces; empty is null."""
     upper = F.trim(F.upper(text))
-    cut = F.regexp_replace(F.regexp_replace(upper, r"\s+[A-E]?DP\s+\d+\w*.*$", ""), r"\s+B[XD]\s+\d+.*$", "")
+    cut = F.regexp_replace(F.regexp_replace(upper, UNIT_SUFFIX, ""), STORAGE_SUFFIX, "")
     return F.when(F.length(text) > 0, F.trim(F.regexp_replace(cut, r"\s+", " ")))
 
 
@@ -135,9 +145,36 @@ def valid_coordinate(lat: Column, lon: Column) -> Column:
     return F.coalesce(number(lat).between(-90, 90) & number(lon).between(-180, 180) & ~F.isnan(number(lat)) & ~F.isnan(number(lon)), F.lit(False))
 
 
+def _halves(value: Column) -> tuple[Column, Column]:
+    """A double as the sum of two with half the digits each."""
+    big = value * F.lit(134217729.0)  # 2**27 + 1
+    high = big - (big - value)
+    return high, value - high
+
+
+def round_half_even(value: Column, places: int) -> Column:
+    """To the nearer decimal of so many places by the number's exact value, ties to the even one.
+
+    Whether the number lies beyond the middle is told by the product of number and power of ten with its rounding error.
+    """
+    scale, twice = F.lit(10.0**places), F.lit(2 * 10.0**places)
+    least = F.floor(value * scale)
+    product = value * twice
+    (a, b), (c, d) = _halves(value), _halves(twice)
+    error = ((a * c - product) + a * d + b * c) + b * d
+    beyond = (product - (least * 2 + 1)) + error
+    low, high = least / scale, (least + 1) / scale
+    return F.when(beyond < 0, low).when(beyond > 0, high).when(least % 2 == 0, low).otherwise(high)
+
+
 def coordinate_key(value: Column) -> Column:
-    """Micro-degrees as an integer, half away from zero."""
-    return F.round(value * 1_000_000).cast("long")
+    """Micro-degrees as an integer, ties to the even one."""
+    return F.rint(round_half_even(value, 6) * 1_000_000).cast("long")
+
+
+def utc_now() -> Column:
+    """The time in UTC, in ISO form with its offset; the same in all rows of a query."""
+    return F.concat(F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
 def short_hash(value: Column, length: int = 16) -> Column:

@@ -32,14 +32,17 @@ def find(communes: DataFrame, wanted: str) -> DataFrame:
 
 
 def in_region(communes: DataFrame, region: str) -> DataFrame:
-    """P02."""
-    return communes.where(normalize_name(F.col("region")) == normalize_name(F.lit(region)))
+    """The communes of a region by normalised name; a region without communes is an error."""
+    hits = communes.where(normalize_name(F.col("region")) == normalize_name(F.lit(region)))
+    if hits.isEmpty():
+        raise ValueError(f"no communes in {region!r}")
+    return hits
 
 
 def region_assets(communes: DataFrame, assets: DataFrame) -> DataFrame:
-    """Each region's communes and asset by normalised name; ``file`` is null where a region has no asset."""
+    """Each region's communes and asset by normalised name; a region without an asset is an error."""
     grouped = communes.groupBy(normalize_name(F.col("region")).alias("region_key")).agg(F.count("*").alias("n_communes"), F.array_sort(F.collect_list("code")).alias("codes"))
-    return grouped.join(assets.select(normalize_name(F.col("region")).alias("region_key"), "file"), "region_key", "left")
+    return grouped.join(assets.select(normalize_name(F.col("region")).alias("region_key"), "file"), "region_key", "left").withColumn("file", F.coalesce("file", F.raise_error(F.concat(F.lit("no historic asset for region "), F.col("region_key"))).cast("string")))
 
 
 def seed(existing: DataFrame, communes: DataFrame, period: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwright.functions import geometry as G
-from parcelwright.functions.scalars import coordinate_key, normalize_address
+from parcelwright.functions.scalars import coordinate_key, normalize_address, round_half_even
 
 # Fixed values of the outputs.
 PIP, NEAREST, COORDINATE, ADDRESS = "point_in_polygon", "nearest_10m", "coord_inheritance", "address_inheritance"
@@ -60,7 +60,7 @@ def match_roles(roles: DataFrame, polygons: DataFrame, max_distance: float = 10.
     m = roles.join(best, "rid", "left").withColumns({
         "_poly_idx": F.coalesce("_in", "_near._poly_idx"),
         "_match_method": F.when(F.col("_in").isNotNull(), PIP).when(F.col("_near").isNotNull(), NEAREST),
-        "_match_dist_m": F.when(F.col("_in").isNotNull(), 0.0).otherwise(F.round("_near.dist", 2)),
+        "_match_dist_m": F.when(F.col("_in").isNotNull(), 0.0).otherwise(round_half_even(F.col("_near.dist"), 2)),
     }).drop("_in", "_near")
     m = m.withColumns({"_lat6": coordinate_key(F.col("lat")), "_lon6": coordinate_key(F.col("lon")), "_addr": F.when(normalize_address(F.col("address")) != "", normalize_address(F.col("address")))})
     m = _inherit(m, ["_lat6", "_lon6"], F.col("valid"), COORDINATE).drop("_lat6", "_lon6")
@@ -92,5 +92,5 @@ def match_metrics(matched: DataFrame) -> DataFrame:
     return matched.agg(
         F.count("*").alias("roles"), *[method(n) for n in (PIP, NEAREST, COORDINATE, ADDRESS)], F.count_if(F.col("_poly_idx").isNull()).alias("without_geometry"),
         kind(NOT_SHOWN, "current_without_published_geometry"), kind(SHOWN_UNMATCHED, "current_with_coordinates_unmatched"), kind(NOT_FOUND, "not_found_current_period"), kind(FAILED, "api_error_without_geometry"),
-        F.when(F.count("*") > 0, F.round(have / F.count("*") * 100, 3)).otherwise(0.0).alias("coverage_pct"),
+        F.when(F.count("*") > 0, round_half_even(have / F.count("*") * 100, 3)).otherwise(0.0).alias("coverage_pct"),
     )

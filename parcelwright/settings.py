@@ -59,9 +59,47 @@ def load_settings(path: str | Path | None = None, **overrides: Any) -> Settings:
     settings = Settings()
     if path is not None:
         base = Path(path)
-        for source in (base, base.with_name(f"{base.stem}.local{base.suffix}")):
+        for source in (base, local_path(base)):
             if source.exists():
                 settings = replace(settings, **_coerced(json.loads(source.read_text(encoding="utf-8"))))
     if root := os.environ.get(ENVIRONMENT_ROOT):
         settings = replace(settings, storage_root=root)
     return replace(settings, **_coerced(overrides))
+
+
+def local_path(path: str | Path) -> Path:
+    """The file of local settings beside a settings file; it is read after it."""
+    base = Path(path)
+    return base.with_name(f"{base.stem}.local{base.suffix}")
+
+
+def save_local(path: str | Path, **values: Any) -> Path:
+    """Put values into the local settings beside ``path``, keeping the others that are there; returns that file.
+
+    The new file is written beside the old one and takes its place at once.
+    """
+    destination = local_path(path)
+    current = json.loads(destination.read_text(encoding="utf-8")) if destination.exists() else {}
+    part = destination.with_name(destination.name + ".part")
+    part.write_text(json.dumps(current | values, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    os.replace(part, destination)
+    return destination
+
+
+def resolve_historic(path: str | Path, given: str | Path | None = None, folder: str | Path | None = None, pattern: str = "*.csv") -> Path | None:
+    """The historic extract to use: the one given, else the one saved, else the newest by name in ``folder``, else none.
+
+    One that is given is saved for the next time; if there is no such file, that is an error. A saved or found one that
+    is gone counts as none.
+    """
+    local = local_path(path)
+    saved = json.loads(local.read_text(encoding="utf-8")).get("reference_csv") if local.exists() else None
+    newest = sorted(Path(folder).glob(pattern))[-1:] if folder is not None else []
+    chosen = given or saved or (newest[0] if newest else None)
+    if chosen is None or not Path(chosen).is_file():
+        if given is not None:
+            raise FileNotFoundError(str(given))
+        return None
+    if given is not None:
+        save_local(path, reference_csv=str(Path(given).resolve()))
+    return Path(chosen).resolve()

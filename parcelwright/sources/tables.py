@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelwright.functions.geometry import RINGS
 from parcelwright.functions.scalars import normalize_name
+from parcelwright.sinks.files import exists, file_hash, file_size
 
 
 def historic_parquet(spark: SparkSession, path: str, commune: int) -> DataFrame:
@@ -70,21 +71,21 @@ def asset_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def validate_asset(spark: SparkSession, path: str, size: int, sha256: str, rows: int, columns: list[str], communes: list[int]) -> None:
     """Size, hash, row count, columns in order, and a row for every commune; the first that fails is an error."""
-    file = spark.read.format("binaryFile").load(path).select("length", F.sha2("content", 256).alias("sha")).first()
-    if file is None:
+    if not exists(spark, path):
         raise FileNotFoundError(path)
-    if file["length"] != size:
-        raise ValueError(f"{path}: {file['length']} bytes, not {size}")
-    if file["sha"] != sha256:
+    if (found := file_size(spark, path)) != size:
+        raise ValueError(f"{path}: {found} bytes, not {size}")
+    if file_hash(spark, path) != sha256:
         raise ValueError(f"{path}: hash differs")
     data = spark.read.parquet(path)
     if data.columns != columns:
         raise ValueError(f"{path}: columns differ")
     if (n := data.count()) != rows:
         raise ValueError(f"{path}: {n} rows, not {rows}")
-    wanted = spark.createDataFrame([(c,) for c in communes], "comuna int") if communes else None
-    if wanted is not None and (missing := [r[0] for r in wanted.join(data.select("comuna").distinct(), "comuna", "left_anti").collect()]):
-        raise ValueError(f"{path}: no rows for {missing}")
+    if communes:
+        have = data.where(F.col("comuna").isin(*communes)).agg(F.collect_set(F.col("comuna").cast("int"))).first()[0]  # the wanted ones at most
+        if missing := sorted(set(communes) - set(have)):
+            raise ValueError(f"{path}: no rows for {missing}")
 
 
 def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
