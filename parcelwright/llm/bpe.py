@@ -21,14 +21,14 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 20_000_000
 PAYLOAD_CHARS = 2_000_000
 #: A task forgets its encoded words beyond so many.
 CACHED_WORDS = 1_000_000
@@ -95,6 +95,12 @@ class Vocabulary:
         return {str(i): piece for piece, i in self.whole.get_vocab(with_added_tokens=True).items()}
 
 
+@lru_cache(maxsize=2)
+def vocabulary_of(content: str) -> Vocabulary:
+    """A tokenizer file opened once in a process, for all of its tasks."""
+    return Vocabulary(content)
+
+
 def _byte_alphabet() -> dict[int, str]:
     """The printable stand-ins of bytes in byte-level pre-tokenization: printable Latin-1 as it is, the rest from U+0100 on."""
     kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -133,7 +139,7 @@ def _unpack(payload: bytes, packer: zstandard.ZstdDecompressor) -> list[str]:
 
 def _distinct_words(content, parts: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(content.value)
+        vocabulary = vocabulary_of(content.value)
         packer = zstandard.ZstdCompressor(level=3)
         current, seen = None, set()
 
@@ -158,7 +164,7 @@ def _encode_words(content) -> object:
     """Packed words in, the same with their ids out; a word is encoded when the task first sees it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(content.value)
+        vocabulary = vocabulary_of(content.value)
         packer, unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         table: dict[str, str] = {}
         for batch in batches:
@@ -195,7 +201,7 @@ def _join_back(content, keep_text: bool) -> object:
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep_text else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(content.value)
+        vocabulary = vocabulary_of(content.value)
         packer = zstandard.ZstdDecompressor()
         pieces = vocabulary.pieces()
         current, ids = None, {}
