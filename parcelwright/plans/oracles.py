@@ -118,7 +118,9 @@ SELECT comuna, CAST(l_orderkey AS VARCHAR) AS manzana, CAST(l_suppkey AS VARCHAR
 SELECT query_key, status, seq, CAST(ts AS VARCHAR) AS queried_at FROM ev QUALIFY row_number() OVER (PARTITION BY query_key ORDER BY ts DESC, seq DESC) = 1""",
     "q_upsert_state": f"WITH {_STATE} SELECT query_key, commune, status, response FROM state",
     "q_status_counts": f"WITH {_STATE} SELECT status, count(*) AS n FROM state GROUP BY status",
-    "q_status_row": f"""WITH {_STATE}
+    "q_status_row": f"""WITH {_EVENTS},
+state AS (
+  SELECT query_key, first(CASE WHEN seq % 3 = 0 THEN 'point' ELSE 'role' END ORDER BY ts, seq) AS source, last(status ORDER BY ts, seq) AS status FROM ev GROUP BY query_key HAVING source = 'role')
 SELECT count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'not_found') AS not_found, count(*) FILTER (WHERE status = 'error') AS error FROM state""",
     "q_role_status": """SELECT event_id AS seq, CASE WHEN event_id % 4 = 0 OR event_id % 10 = 5 THEN 'ok' WHEN event_id % 3 = 0 THEN 'error' ELSE 'not_found' END AS status FROM events""",
     "q_anti_resume": f"WITH {_STATE} SELECT query_key FROM state WHERE status NOT IN ('ok', 'not_found')",
@@ -148,7 +150,7 @@ SELECT p_partkey, round(round((lon + w / 4 - x0) / (x1 - x0) * 800, 4), 2) AS x,
 SELECT periodo, codigo_comuna, status, CAST(NULL AS BIGINT) AS n FROM seeded WHERE codigo_comuna NOT IN (SELECT code FROM ch) UNION ALL
 SELECT '2026S2', code, 'completa_con_observaciones', n FROM ch""",
     "q_region_assets": """SELECT r_name AS region_key, count(*) AS n_communes, string_agg(CAST(n_nationkey AS VARCHAR), ',' ORDER BY CAST(n_nationkey AS VARCHAR)) AS codes,
-  CASE WHEN r_regionkey <> 2 THEN 'asset_' || r_regionkey || '.parquet' END AS file FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, r_regionkey""",
+  'asset_' || r_regionkey || '.parquet' AS file FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, r_regionkey""",
     "q_commune_lookup": f"WITH {_COMMUNES} SELECT a.* FROM communes a JOIN communes b USING (region) WHERE b.name = 'NATION_7' AND region = 'ASIA'",
     "q_axis_windows": f'WITH {_CELLS}, {_windows("sc_x")} SELECT code, win AS "window", first, last FROM w_sc_x',
     "q_blocks": f"""WITH {_CELLS}, {_windows("sc_x")}, {_windows("sc_y")},
@@ -189,9 +191,38 @@ o AS (
   SELECT count(*) FILTER (WHERE pid IS NULL) AS roles_without_geometry, count(*) FILTER (WHERE quality = 'vigente_sin_visualizacion_sii') AS current_roles_without_published_geometry,
     count(*) FILTER (WHERE quality = 'vigente_con_coordenada_sin_geometria') AS current_roles_with_coordinates_unmatched, count(*) FILTER (WHERE quality = 'rol_no_encontrado_periodo_actual') AS roles_not_found_current_period,
     count(*) FILTER (WHERE quality = 'poligono_sin_rol') AS unmatched_polygons, count(*) FILTER (WHERE size_class = 'large_component') AS large_components FROM output),
-a AS (SELECT count(*) FILTER (WHERE status = 'error') AS api_error, count(*) FILTER (WHERE status = 'not_found') AS api_not_found FROM state)
-SELECT o.*, a.*, CAST(0 AS BIGINT) AS invalid_geometries, CAST(0 AS BIGINT) AS unexpected_api_periods,
-  CASE WHEN roles_without_geometry + unmatched_polygons + large_components + api_error + api_not_found = 0 THEN 'completa' ELSE 'completa_con_observaciones' END AS status FROM o, a""",
+a AS (SELECT count(*) FILTER (WHERE status = 'error') AS api_error, count(*) FILTER (WHERE status = 'not_found') AS api_not_found FROM state),
+g AS (SELECT count(*) FILTER (WHERE area <= 0) AS invalid_geometries FROM output LEFT JOIN polys USING (pid)),
+u AS (SELECT count(DISTINCT date_trunc('year', o_orderdate) + CASE WHEN month(o_orderdate) <= 6 THEN INTERVAL 0 MONTH ELSE INTERVAL 6 MONTH END) AS n, bool_or(year(o_orderdate) = 1995 AND month(o_orderdate) > 6) AS expected FROM orders),
+p AS (SELECT n - CAST(expected AS INT) AS unexpected_api_periods FROM u)
+SELECT o.*, a.*, g.*, CAST(unexpected_api_periods AS BIGINT) AS unexpected_api_periods,
+  CASE WHEN roles_without_geometry + unmatched_polygons + large_components + api_error + api_not_found + invalid_geometries + unexpected_api_periods = 0 THEN 'completa' ELSE 'completa_con_observaciones' END AS status
+FROM o, a, g, p""",
+    "q_vectorization": f"""WITH {_POLYS}, {_MASK},
+b AS (SELECT block_id, count(*) FILTER (WHERE fill) AS f, count(*) AS n FROM seen GROUP BY block_id),
+p AS (SELECT count(*) AS polygons, count(*) FILTER (WHERE area > 0) AS valid_polygons, count(*) FILTER (WHERE size_class = 'large_component') AS large FROM polys)
+SELECT p.*, t.* FROM p, (SELECT count(*) AS blocks, CAST(sum(f) AS BIGINT) AS fill_pixels, min(f / n) AS min_fill_ratio, max(f / n) AS max_fill_ratio FROM b) t""",
+    "q_block_identities": """SELECT l_orderkey AS block_id, sha256(string_agg(l_linenumber || ',' || l_suppkey || ',' || sha256(CAST(l_partkey AS VARCHAR)), ';' ORDER BY l_linenumber, l_suppkey, sha256(CAST(l_partkey AS VARCHAR)))) AS identity FROM lineitem GROUP BY l_orderkey""",
+    "q_inconsistent_blocks": "SELECT l_orderkey AS block_id FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) <> count(*)",
+    "q_error_texts": "SELECT doc_id, md5(substr(text, 1, 500)) AS error_md5 FROM documents",
+    "q_rounded": """WITH e AS (SELECT l_partkey * 7 + l_linenumber AS k FROM lineitem),
+t AS (SELECT k, k * 125 // 100 AS q1, k * 125 % 100 AS r1, k * 125 // 10 AS q2, k * 125 % 10 AS r2 FROM e)
+SELECT k AS eighths, (q1 + CASE WHEN r1 > 50 OR r1 = 50 AND q1 % 2 = 1 THEN 1 ELSE 0 END) / 10 AS p1, (q2 + CASE WHEN r2 > 5 OR r2 = 5 AND q2 % 2 = 1 THEN 1 ELSE 0 END) / 100 AS p2 FROM t""",
+    "q_historic_parquet": "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS manzana, CAST(l_suppkey AS VARCHAR) AS predio, l_orderkey || '-' || l_suppkey AS rol FROM lineitem WHERE l_linenumber = 3",
+    "q_historic_csv": "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS manzana, CAST(l_suppkey AS VARCHAR) AS predio, l_orderkey || '-' || l_suppkey AS rol FROM lineitem WHERE l_linenumber = 3",
+    "q_communes_json": f"WITH {_COMMUNES} SELECT code, name, region FROM communes",
+    "q_boundary": """SELECT 'nation_11' AS name, CAST(11 + n AS DOUBLE) AS minx, CAST(11 AS DOUBLE) AS miny, CAST(13 + n AS DOUBLE) AS maxx, CAST(12 AS DOUBLE) AS maxy
+FROM nation, range(3) t(n) WHERE n_name = 'NATION_11'""",
+    "q_asset_entries": "SELECT r_name AS region, 'a' || r_regionkey || '.parquet' AS file, CAST(r_regionkey * 10 AS BIGINT) AS bytes, 'h' || r_regionkey || '.cl,b.cl' AS hosts FROM region",
+    "q_stored_lines": r"""SELECT '{"query_key":"' || conv_id || ':' || turn || '","source":' || coalesce(to_json(role)::VARCHAR, 'null') || ',"response":{"text":' || coalesce(to_json(text)::VARCHAR, 'null') || '},"error":null}' AS line FROM conversations""",
+    "q_stored_catalog": f"""WITH {_SEED}, ch AS (SELECT CAST(s_nationkey AS VARCHAR) AS code, CAST(count(*) AS VARCHAR) AS n FROM supplier GROUP BY 1)
+SELECT periodo, codigo_comuna, status, NULL AS filas_salida, NULL AS poligonos FROM seeded WHERE codigo_comuna NOT IN (SELECT code FROM ch) UNION ALL
+SELECT '2026S2', code, 'completa_con_observaciones', n, NULL FROM ch""",
+    "q_replayed": f"""WITH {_EVENTS}
+SELECT query_key, CAST(length(split_part(query_key, ':', 2)) AS INT) AS status_code, last(props ORDER BY seq) AS body, CAST(max(seq) AS INT) AS attempts FROM ev GROUP BY query_key""",
+    "q_role_requests": """SELECT DISTINCT l_linenumber AS comuna, lpad(CAST(l_orderkey AS VARCHAR), 9, '0') AS manzana, lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS predio,
+  '{"comuna":"' || l_linenumber || '","manzana":"' || l_orderkey || '","predio":"' || l_suppkey || '","layer":"layer"}' AS request FROM lineitem""",
+    "q_contexts": "SELECT CAST(n_nationkey AS VARCHAR) AS commune, CASE WHEN n_nationkey % 4 <> 0 THEN 'layer_' || n_regionkey ELSE 'default' END AS layer FROM nation",
     "q_fill_mask": """WITH p AS (SELECT l_linenumber AS image, l_partkey * 7 + l_suppkey * 13 AS v, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
 m AS (SELECT image, abs(170 + v % 30 - 182) <= 20 AND abs(205 + (v + q) % 40 - 221) <= 22 AND abs(215 + (v * 3) % 41 - 232) <= 22 AND q * 5 + 3 >= 20 AS fill FROM p)
 SELECT image, count(*) FILTER (WHERE fill) AS fill_pixels, count(*) AS pixels, avg(CAST(fill AS INT)) AS fill_ratio FROM m GROUP BY image""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,11 +13,12 @@ from parcelwright.functions import scalars as S
 from parcelwright.operators import catalog, grid, matching, orphans, records, runs, summary, trace
 from parcelwright.plans import views
 from parcelwright.plans.oracles import ORACLES  # noqa: F401
-from parcelwright.plans.staging import stage
-from parcelwright.plans.stages import changed_blocks
+from parcelwright.plans.stages import block_identities as stage_identities
+from parcelwright.plans.stages import changed_blocks, consistent
+from parcelwright.plans.staging import shared_dir, stage
 from parcelwright.settings import Settings
-from parcelwright.sinks.files import raw_export
-from parcelwright.sources import replay
+from parcelwright.sinks.files import raw_export, read_catalog, write_catalog, write_json, write_lines, write_parquet
+from parcelwright.sources import replay, tables
 from parcelwright.streaming.attempts import status_by_window
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,8 +68,9 @@ def status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def status_row(spark: SparkSession, d: str) -> DataFrame:
-    """A05 A06 V09"""
-    return summary.status_row(records.upsert(views.events(spark, d)))
+    """Of the role answers"""
+    source = F.when(F.col("seq") % 3 == 0, "point").otherwise("role")
+    return summary.status_row(records.upsert(views.events(spark, d).withColumn("source", source)), "role")
 
 
 @query
@@ -190,7 +193,7 @@ def catalog_upsert(spark: SparkSession, d: str) -> DataFrame:
 @query
 def region_assets(spark: SparkSession, d: str) -> DataFrame:
     """S10 J15"""
-    assets = views.table(spark, d, "region").where("r_regionkey <> 2").select(F.initcap(F.lower("r_name")).alias("region"), F.concat(F.lit("asset_"), F.col("r_regionkey").cast("string"), F.lit(".parquet")).alias("file"))
+    assets = views.table(spark, d, "region").select(F.initcap(F.lower("r_name")).alias("region"), F.concat(F.lit("asset_"), F.col("r_regionkey").cast("string"), F.lit(".parquet")).alias("file"))
     return catalog.region_assets(views.communes(spark, d), assets).select("region_key", "n_communes", F.array_join("codes", ",").alias("codes"), "file")
 
 
@@ -277,10 +280,143 @@ def final_summary(spark: SparkSession, d: str) -> DataFrame:
     return summary.final_summary(_output(spark, d)[0])
 
 
+@query
+def vectorization(spark: SparkSession, d: str) -> DataFrame:
+    """Over all polygons and the blocks of the mask"""
+    merged = views.polygons(spark, d).select("pol_size_class", geometry.valid(F.col("rings")).alias("geometry_valid"))
+    return summary.vectorization_metrics(merged, runs.image_metrics(views.mask(spark, d)))
+
+
+@query
+def block_identities(spark: SparkSession, d: str) -> DataFrame:
+    """Identities of blocks from the hashes of their tiles"""
+    li = views.table(spark, d, "lineitem")
+    tiles = li.select(F.col("l_orderkey").alias("block_id"), F.col("l_linenumber").alias("sc_x"), F.col("l_suppkey").alias("sc_y"), F.sha2(F.col("l_partkey").cast("string").cast("binary"), 256).alias("sha"))
+    return stage_identities(tiles)
+
+
+@query
+def inconsistent_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose number of suppliers differs from what their first lines say"""
+    li = views.table(spark, d, "lineitem")
+    shapes = li.select(F.col("l_orderkey").alias("block_id"), F.col("l_suppkey").alias("polygon_id"))
+    metrics = li.groupBy(F.col("l_orderkey").alias("block_id")).agg(F.count("*").alias("polygons"))
+    return consistent(shapes, metrics)
+
+
+@query
+def error_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts cut to what a record keeps of an error"""
+    return views.table(spark, d, "documents").select("doc_id", F.md5(S.error_text(F.col("text"))).alias("error_md5"))
+
+
+@query
+def rounded(spark: SparkSession, d: str) -> DataFrame:
+    """Eighths to one and two places, where many are ties"""
+    eighths = F.col("l_partkey") * 7 + F.col("l_linenumber")
+    return views.table(spark, d, "lineitem").select(eighths.alias("eighths"), *[S.round_half_even(eighths / 8, n).alias(f"p{n}") for n in (1, 2)])
+
+
+def _files(spark: SparkSession) -> str:
+    """A folder for files that a query writes and reads back."""
+    return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+
+
+@query
+def historic_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """The historic extract written with its checks; one commune's keys, the commune pushed to the scan"""
+    path = _files(spark)
+    write_parquet(views.historic(spark, d), path)
+    return records.role_keys(tables.historic_parquet(spark, path, 3), 3)
+
+
+@query
+def historic_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The same from the newest of several text files"""
+    folder = _files(spark)
+    h = views.historic(spark, d).select(F.concat(F.lpad(F.col("comuna").cast("string"), 4, "0"), F.lit(".0")).alias("comuna"), F.lit("x").alias("other"), "manzana", "predio")
+    h.limit(0).write.option("header", True).csv(f"{folder}/historic_1")
+    h.write.option("header", True).csv(f"{folder}/historic_2")
+    return records.role_keys_csv(tables.historic_csv(spark, tables.newest(spark, folder, "historic_*")), 3)
+
+
+@query
+def communes_json(spark: SparkSession, d: str) -> DataFrame:
+    """The communes from a JSON array"""
+    path = f"{_files(spark)}.json"
+    rows = views.communes(spark, d).collect()  # the nations
+    write_json(spark, [{"id": r["code"], "nombre": r["name"], "region": r["region"]} for r in rows], path)
+    return tables.communes_json(spark, path)
+
+
+@query
+def boundary(spark: SparkSession, d: str) -> DataFrame:
+    """Bounds of the parts of one commune, found by name in a collection of features"""
+    path = f"{_files(spark)}.json"
+    square = lambda k, n: [[[k + n, k], [k + n + 2, k], [k + n + 2, k + 1], [k + n, k]]]
+    features = [{"type": "Feature", "properties": {"Comuna": r["n_name"].title()}, "geometry": {"type": "MultiPolygon", "coordinates": [square(r["n_nationkey"], n) for n in range(3)]}} for r in views.table(spark, d, "nation").collect()]
+    write_json(spark, {"type": "FeatureCollection", "features": features}, path)
+    parts = tables.boundary_geojson(spark, path, "nation_11").select("name", F.explode("parts").alias("rings"))
+    return parts.select("name", geometry.bounds(F.col("rings")).alias("b")).select("name", "b.minx", "b.miny", "b.maxx", "b.maxy")
+
+
+@query
+def asset_entries(spark: SparkSession, d: str) -> DataFrame:
+    """A manifest's assets, one row each, with their distinct sources and hosts"""
+    path = f"{_files(spark)}.json"
+    assets = [{"region": r["r_name"], "file": f"a{r['r_regionkey']}.parquet", "bytes": r["r_regionkey"] * 10, "rows": 5, "sha256": "0", "urls": [f"http://h{r['r_regionkey']}.cl/x", "http://b.cl/x", f"http://h{r['r_regionkey']}.cl/x"]} for r in views.table(spark, d, "region").collect()]
+    write_json(spark, {"columns": ["comuna"], "assets": assets}, path)
+    m = tables.asset_manifest(spark, path)
+    return m.select("region", "file", "bytes", F.array_join(F.transform(replay.fallback_urls(F.col("urls")), lambda u: u["host"]), ",").alias("hosts"))
+
+
+@query
+def stored_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The raw lines as compressed text files, read back"""
+    path = _files(spark)
+    write_lines(raw_lines(spark, d), path, gzip=True)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def stored_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue file with its fixed columns, read back"""
+    path = f"{_files(spark)}.csv"
+    write_catalog(catalog_upsert(spark, d).withColumnRenamed("n", "filas_salida"), path)
+    return read_catalog(spark, path).select("periodo", "codigo_comuna", "status", "filas_salida", "poligonos")
+
+
+@query
+def replayed(spark: SparkSession, d: str) -> DataFrame:
+    """The last stored attempt of each key, from JSON lines"""
+    path = _files(spark)
+    views.events(spark, d).select("query_key", F.length("event_type").alias("status_code"), F.col("response").alias("body"), F.col("seq").cast("int").alias("attempts")).write.json(path)
+    return replay.responses(spark, path)
+
+
+@query
+def role_requests(spark: SparkSession, d: str) -> DataFrame:
+    """What is asked for each role"""
+    h = views.historic(spark, d).withColumn("manzana", F.regexp_replace("manzana", r"\.0$", "")).distinct()
+    return h.select("comuna", "manzana", "predio", replay.role_request(F.col("comuna").cast("string"), F.col("manzana"), F.col("predio"), F.lit("layer")).alias("request"))
+
+
+@query
+def contexts(spark: SparkSession, d: str) -> DataFrame:
+    """The first layer of each commune's context, the default where it has none"""
+    n = views.table(spark, d, "nation")
+    layer = F.when(F.col("n_nationkey") % 4 != 0, F.concat(F.lit("layer_"), F.col("n_regionkey").cast("string")))
+    rows = n.select(F.col("n_nationkey").cast("string").alias("commune"), F.array(F.struct(layer.alias("layer")), F.struct(F.lit("other").alias("layer"))).alias("context"))
+    return replay.context(rows, "default").select("commune", F.col("context.layer").alias("layer"))
+
+
 @query
 def observations(spark: SparkSession, d: str) -> DataFrame:
-    """A10 P20"""
-    return summary.observations(_output(spark, d)[0], records.upsert(views.events(spark, d)))
+    """With the shapes that are invalid and the periods that are not expected"""
+    checked = views.polygons(spark, d).select(F.col("_poly_idx").alias("_valid_idx"), geometry.valid(F.col("rings")).alias("geometry_valid"))
+    output = _output(spark, d)[0]
+    output = output.join(checked, output["_poly_idx"] == checked["_valid_idx"], "left").drop("_valid_idx")
+    return summary.observations(output, records.upsert(views.events(spark, d)), periods=observed_periods(spark, d))
 
 
 @query

@@ -1,14 +1,19 @@
 """Cutting lineage in the folder that driver and executors share.
 
 A staged frame is a Parquet table below ``spark.checkpoint.dir``: it survives the loss of any executor, keeps column
-pruning, and is compressed. Where the setting is absent (tests, a laptop) a folder of the driver's own is set once.
+pruning, and is compressed. Where the setting is absent in local mode (tests, a laptop) a folder of the driver's own is
+set once; on a cluster that is an error, as executors would write to disks of their own. Staged tables last until their
+``scope`` ends, at the latest until the interpreter does.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="parcelwright-")
     spark.sparkContext.setCheckpointDir(own)
     return own
@@ -51,9 +58,19 @@ def release(staged: DataFrame) -> None:
         _written.remove((staged.sparkSession, path))
 
 
-def drop_staged() -> None:
-    """Delete what ``stage`` has written; frames that read it must not be used afterwards."""
-    while _written:
+@contextmanager
+def scope() -> Iterator[None]:
+    """Delete what is staged inside once the block ends, such as after a query's result is written."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        drop_staged(before)
+
+
+def drop_staged(keep: int = 0) -> None:
+    """Delete what ``stage`` has written, but for the first ``keep`` tables; frames that read it must not be used afterwards."""
+    while len(_written) > keep:
         try:
             _delete(*_written.pop())
         except Exception:  # the session may have ended before us
