@@ -6,8 +6,9 @@ import hashlib
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parcelwright.llm import bpe, linededup, mixing, quality
+from parcelwright.llm import bpe
 from parcelwright.plans.staging import stage
+from tests.llm.test_brute_force import WORD, brute_kept, brute_lines, brute_mix
 from tests.llm.test_operators import brute_links
 
 
@@ -17,11 +18,13 @@ def test_stages_step_by_step(spark, data):
     (_, rules), (_, lines), (_, near), (_, mix), (_, encode) = corpus_pipeline.STAGES
 
     good = stage(rules(spark, docs, data), "t")
-    kept = {r["doc_id"] for r in quality.judge(docs).where("kept").collect()}
-    assert {r["doc_id"] for r in good.collect()} == kept and good.columns == list(corpus_pipeline.COLUMNS)
+    kept, _ = brute_kept([(r["doc_id"], r["text"], r["lang"], r["source"]) for r in all_rows.values()])
+    assert {r["doc_id"] for r in good.collect()} == {i for i, k in zip(all_rows, kept, strict=True) if k} and good.columns == list(corpus_pipeline.COLUMNS)
+    assert all(tuple(r) == tuple(all_rows[r["doc_id"]]) for r in good.collect())
 
     clean = stage(lines(spark, good, data), "t")
-    want = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(good).collect() if r["n_dropped"] == 0 or r["text"].strip()}
+    before = {r["doc_id"]: r["text"] for r in good.collect()}
+    want = {i: t for i, t in brute_lines(list(before.items())).items() if t == before[i] or t.strip()}
     assert {r["doc_id"]: r["text"] for r in clean.collect()} == want and all(r["n_chars"] == len(r["text"]) for r in clean.collect())
     assert sum(t == all_rows[i]["text"] for i, t in want.items()) > 0.5 * len(want)
 
@@ -30,8 +33,8 @@ def test_stages_step_by_step(spark, data):
     assert sorted(r["doc_id"] for r in single.collect()) == sorted(set(component.values()))
 
     mixed = stage(mix(spark, single, data), "t")
-    plan = {r["doc_id"]: r["epochs"] for r in mixing.mix(single).collect() if r["epochs"]}
-    assert dict(collections.Counter(r["doc_id"] for r in mixed.collect())) == plan
+    used, _ = brute_mix([(r["doc_id"], r["source"], len(WORD.findall(r["text"]))) for r in single.collect()])
+    assert collections.Counter(r["doc_id"] for r in mixed.collect()) == collections.Counter({i: n * e for (i, _, _, e), n in used.items() if e})
 
     library = bpe.Vocabulary(bpe.tokenizer_file()).whole
     expected = collections.Counter()
@@ -54,3 +57,18 @@ def test_odd_columns(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long")).write.parquet(str(tmp_path / "documents.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in got} == {3}
+
+
+def test_repeated_rows_and_null_sources(spark, tmp_path):
+    """Copies of a row, in a source and without one: one of each stays after the near duplicates, and none is lost."""
+    text = lambda k: " ".join(f"word{'abcdefghij'[(k * 7 + i) % 10]}{'klmnop'[(k + i * i) % 6]}{'qrstuvw'[(k * i) % 7]}" for i in range(40))
+    rows = [(k, text(k), "en", "s" if k % 2 else None) for k in range(6)] + [(1, text(1), "en", "s")] * 30 + [(None, text(90), None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = collections.Counter(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert set(got) <= {None, *range(6)} and all(n <= 3 for n in got.values())
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, apply in corpus_pipeline.STAGES[:3]:
+        docs = stage(apply(spark, docs, str(tmp_path)), "t")
+    counts = collections.Counter(r["doc_id"] for r in docs.collect())
+    assert counts == {None: 1, **dict.fromkeys(range(6), 1)}
