@@ -62,7 +62,7 @@ def test_odd_columns(spark, tmp_path):
 def test_repeated_rows_and_null_sources(spark, tmp_path):
     """Copies of a row, in a source and without one: one of each stays after the near duplicates, and none is lost."""
     text = lambda k: " ".join(f"word{'abcdefghij'[(k * 7 + i) % 10]}{'klmnop'[(k + i * i) % 6]}{'qrstuvw'[(k * i) % 7]}" for i in range(40))
-    rows = [(k, text(k), "en", "s" if k % 2 else None) for k in range(6)] + [(1, text(1), "en", "s")] * 30 + [(None, text(90), None, None)] * 3
+    rows = [(k, text(k + 1), "en", "s" if k % 2 else None) for k in range(6)] + [(1, text(2), "en", "s")] * 30 + [(None, text(90), None, None)] * 3
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
     df.write.parquet(str(tmp_path / "documents.parquet"))
     got = collections.Counter(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
