@@ -19,6 +19,7 @@ from parcelwright.plans.stages import block_identities, consistent
 from parcelwright.settings import Settings, load_settings, resolve_historic, save_local
 from parcelwright.sinks import files
 from parcelwright.sources import assets, tables
+from parcelwright.sources import tiles as tile_source
 
 SETTINGS = Settings(zoom=19, urban_min_area_m2=0.5)
 STATE = "query_key string, source string, commune string, manzana string, predio string, status string, attempts int, queried_at timestamp, response string, error string, seq long"
@@ -250,3 +251,29 @@ def test_block_checks(spark):
     merged = spark.createDataFrame([("large_component", True), ("parcel_scale", False)], "pol_size_class string, geometry_valid boolean")
     blocks = spark.createDataFrame([(1, 10, 100), (2, 90, 100)], "block_id long, fill_pixels long, pixels long")
     assert tuple(summary.vectorization_metrics(merged, blocks).select("polygons", "valid_polygons", "large", "blocks", "fill_pixels", "min_fill_ratio", "max_fill_ratio").first()) == (2, 1, 1, 2, 100, 0.1, 0.9)
+
+
+def test_tiles_are_fetched_once(spark, tmp_path):
+    cells = spark.createDataFrame([("14504", 8, 12), ("14504", 12, 12), ("14504", 8, 16)], "code string, sc_x int, sc_y int")
+    plan = tile_source.plan_tiles(cells, F.lit("layer"), SETTINGS, "http://maps.example/wms")
+    url = plan.where("name = '8_12'").first()["url"]
+    box = [float(v) for v in url.rpartition("BBOX=")[2].split(",")]
+    side = 2 * S.HALF_WORLD / 2**19
+    assert np.allclose(box, [8 * side - S.HALF_WORLD, S.HALF_WORLD - 16 * side, 12 * side - S.HALF_WORLD, S.HALF_WORLD - 12 * side]) and "WIDTH=1024" in url and "VERSION=1.1.1" in url
+    folder, asked = str(tmp_path / "tiles"), []
+
+    def fetch(u, path):
+        asked.append(u)
+        if len(asked) == 2:
+            raise OSError("lost")
+        files.write_text(spark, u, path)
+
+    with pytest.raises(OSError):
+        tile_source.acquire(spark, plan, folder, fetch)
+    assert tile_source.cached(spark, folder).count() == 1 and not list((tmp_path / "tiles").glob("*.lock"))
+    assert tile_source.acquire(spark, plan, folder, fetch) == 2 and tile_source.acquire(spark, plan, folder, fetch) == 0
+    (tmp_path / "tiles/8_16.json").unlink()  # a crash before the sidecar
+    (tmp_path / "tiles/12_12.png").unlink()
+    assert tile_source.acquire(spark, plan, folder, fetch) == 2
+    other = tile_source.plan_tiles(cells, F.lit("other"), SETTINGS, "http://maps.example/wms")
+    assert tile_source.acquire(spark, other, folder, fetch) == 3  # another request, another image
