@@ -26,11 +26,6 @@ def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
-def n_of(text: Column, characters: str) -> Column:
-    """How many characters of a text are among ``characters``."""
-    return (F.char_length(text) - F.char_length(F.translate(text, characters, ""))).cast("long")
-
-
 def block(array: Column, i: Column, size: int) -> Column:
     """The i-th run of ``size`` elements of an array (the last may be shorter), in time that grows with the run only."""
     return F.transform(F.sequence(i * size, F.least((i + 1) * size, F.size(array)) - 1), lambda j: F.get(array, j))
