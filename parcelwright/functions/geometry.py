@@ -58,13 +58,15 @@ def box(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
 
 
 def distance_to_rings(x: Column, y: Column, rings: Column) -> Column:
-    """Distance of a point to the nearest boundary segment."""
+    """Distance of a point to the nearest boundary segment; 0 on one, where the projection alone may round to more."""
 
     def to(s: Column) -> Column:
         dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
         length = dx * dx + dy * dy
         t = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - s["a"]["x"]) * dx + (y - s["a"]["y"]) * dy) / length))).otherwise(0.0)
-        return F.sqrt(F.pow(x - s["a"]["x"] - t * dx, F.lit(2)) + F.pow(y - s["a"]["y"] - t * dy, F.lit(2)))
+        along = x.between(F.least(s["a"]["x"], s["b"]["x"]), F.greatest(s["a"]["x"], s["b"]["x"])) & y.between(F.least(s["a"]["y"], s["b"]["y"]), F.greatest(s["a"]["y"], s["b"]["y"]))
+        on = along & (dx * (y - s["a"]["y"]) == dy * (x - s["a"]["x"]))
+        return F.when(on, F.lit(0.0)).otherwise(F.sqrt(F.pow(x - s["a"]["x"] - t * dx, F.lit(2)) + F.pow(y - s["a"]["y"] - t * dy, F.lit(2))))
 
     return F.array_min(F.transform(segments(rings), to))
 

@@ -43,7 +43,7 @@ def near_polygons(points: DataFrame, polygons: DataFrame, reach: float, cell: fl
 def _inherit(matched: DataFrame, key: list[str], recipients: Column, method: str) -> DataFrame:
     """Give unmatched rows the parcel of the first matched row with the same key; null keys never meet."""
     donors = matched.where(F.col("_poly_idx").isNotNull()).groupBy(*key).agg(F.min_by("_poly_idx", "rid").alias("_given"))
-    out = matched.join(donors, key, "left")
+    out = matched.join(donors.hint("merge"), key, "left")
     takes = F.col("_poly_idx").isNull() & recipients & F.col("_given").isNotNull()
     return out.withColumns({"_match_method": F.when(takes, F.lit(method)).otherwise(F.col("_match_method")), "_poly_idx": F.when(takes, F.col("_given")).otherwise(F.col("_poly_idx"))}).drop("_given")
 
@@ -58,7 +58,7 @@ def match_roles(roles: DataFrame, polygons: DataFrame, max_distance: float = 10.
     usable = roles.select("rid", F.when(F.col("valid"), F.col("x")).alias("x"), F.when(F.col("valid"), F.col("y")).alias("y"))
     near = near_polygons(usable, polygons, max_distance, cell)
     best = near.groupBy("rid").agg(F.min(F.when(F.col("inside"), F.col("_poly_idx"))).alias("_in"), F.min(F.struct("dist", "_poly_idx")).alias("_near"))
-    m = roles.join(best, "rid", "left").withColumns({
+    m = roles.join(best.hint("merge"), "rid", "left").withColumns({
         "_poly_idx": F.coalesce("_in", "_near._poly_idx"),
         "_match_method": F.when(F.col("_in").isNotNull(), PIP).when(F.col("_near").isNotNull(), NEAREST),
         "_match_dist_m": F.when(F.col("_in").isNotNull(), 0.0).otherwise(round_half_even(F.col("_near.dist"), 2)),
@@ -66,7 +66,7 @@ def match_roles(roles: DataFrame, polygons: DataFrame, max_distance: float = 10.
     m = m.withColumns({"_lat6": coordinate_key(F.col("lat")), "_lon6": coordinate_key(F.col("lon")), "_addr": F.when(normalize_address(F.col("address")) != "", normalize_address(F.col("address")))})
     m = _inherit(m, ["_lat6", "_lon6"], F.col("valid"), COORDINATE).drop("_lat6", "_lon6")
     m = _inherit(m, ["manzana", "_addr"], F.lit(True), ADDRESS).drop("_addr")
-    m = m.join(polygons.select("_poly_idx", "pol_area_m2", "pol_size_class"), "_poly_idx", "left")
+    m = m.join(polygons.select("_poly_idx", "pol_area_m2", "pol_size_class").hint("merge"), "_poly_idx", "left")
     return m.withColumn("calidad_geom", quality())
 
 
