@@ -1,4 +1,7 @@
-"""Parcels without a role, their recovery and the final union."""
+"""Parcels without a role, their recovery and the final union.
+
+Joins are by shuffle and sort, as no side has a bound (see ``matching``).
+"""
 
 from __future__ import annotations
 
@@ -13,7 +16,7 @@ NO_PARCEL = "El punto no devolvió un predio"
 
 def orphans(polygons: DataFrame, matched: DataFrame) -> DataFrame:
     """The polygons that no role uses."""
-    return polygons.join(matched.select("_poly_idx").where("_poly_idx is not null").distinct(), "_poly_idx", "left_anti")
+    return polygons.join(matched.select("_poly_idx").where("_poly_idx is not null").distinct().hint("merge"), "_poly_idx", "left_anti")
 
 
 def point_status(data_present: F.Column, error: F.Column) -> F.Column:
@@ -27,7 +30,7 @@ def recover(orphan: DataFrame, responses: DataFrame) -> DataFrame:
     Equal shapes share one response. A polygon without a response is pending; a response without a role recovers nothing.
     """
     r = responses.select("geometry_key", F.col("status").alias("_status"), F.col("attempts").alias("_api_attempts"), F.col("queried_at").alias("_api_queried_at"), "manzana", "predio", "rol")
-    out = orphan.join(r, "geometry_key", "left").withColumn("_status", F.coalesce("_status", F.lit("pending")))
+    out = orphan.join(r.hint("merge"), "geometry_key", "left").withColumn("_status", F.coalesce("_status", F.lit("pending")))
     found = F.col("rol").isNotNull()
     return out.withColumns({
         "_ok": F.col("_status") == "ok", "_api_attempts": F.coalesce("_api_attempts", F.lit(0)),

@@ -26,6 +26,11 @@ def test_sides_without_a_bound_are_not_broadcast(spark, data, name):
     assert "Broadcast" not in plan_of(QUERIES[name](spark, data))
 
 
+@pytest.mark.parametrize("name", ["q_final_summary"])
+def test_roles_and_parcels_are_not_broadcast(spark, data, name):
+    assert "Broadcast" not in plan_of(QUERIES[name](spark, data))
+
+
 def test_commune_is_pushed_to_the_scan(spark, tmp_path):
     spark.createDataFrame([(1, "2", "3", 4.0)], "comuna int, manzana string, predio string, value double").write.parquet(str(tmp_path / "h"))
     plan = plan_of(tables.historic_parquet(spark, str(tmp_path / "h"), 1))
