@@ -415,7 +415,7 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
     """With the shapes that are invalid and the periods that are not expected"""
     checked = views.polygons(spark, d).select(F.col("_poly_idx").alias("_valid_idx"), geometry.valid(F.col("rings")).alias("geometry_valid"))
     output = _output(spark, d)[0]
-    output = output.join(checked, output["_poly_idx"] == checked["_valid_idx"], "left").drop("_valid_idx")
+    output = output.join(checked.hint("merge"), output["_poly_idx"] == checked["_valid_idx"], "left").drop("_valid_idx")
     return summary.observations(output, records.upsert(views.events(spark, d)), periods=observed_periods(spark, d))
 
 
