@@ -26,7 +26,7 @@ def test_sides_without_a_bound_are_not_broadcast(spark, data, name):
     assert "Broadcast" not in plan_of(QUERIES[name](spark, data))
 
 
-@pytest.mark.parametrize("name", ["q_final_summary", "q_output_union", "q_match_cascade", "q_observations"])
+@pytest.mark.parametrize("name", ["q_final_summary", "q_output_union", "q_match_cascade", "q_observations", "q_orphan_polygons"])
 def test_roles_and_parcels_are_not_broadcast(spark, data, name):
     assert "Broadcast" not in plan_of(QUERIES[name](spark, data))
 
