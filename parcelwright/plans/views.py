@@ -45,7 +45,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fill mask of 64 pixels by as many rows as there are suppliers, seen through overlapping blocks of 32 by 32 pixels, 16 apart."""
-    n, y = table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("int")
+    n, y = table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("long")  # its square passes an int from row 26,755 on
     pixels = n.select(y.alias("y"), F.col("s_nationkey").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("x"))
     pixels = pixels.select("x", "y", ((F.col("x") * F.col("x") + 3 * F.col("y") * F.col("y") + F.col("x") * F.col("y") + F.col("n")) % 7 < 4).alias("fill"))
     r = F.floor(F.col("y") / 16)

@@ -36,6 +36,22 @@ def test_against_duckdb(spark, data, name):
     compare(spark, data, QUERIES[name], ORACLES[name])
 
 
+@pytest.fixture(scope="module")
+def far_rows(data, tmp_path_factory):
+    """The smallest tables with the suppliers' keys from 59,990 on, whose squares pass an int."""
+    folder = tmp_path_factory.mktemp("far")
+    for t in TABLES:
+        (folder / f"{t}.parquet").symlink_to(f"{data}/{t}.parquet")
+    (folder / "supplier.parquet").unlink()
+    duckdb.execute(f"COPY (SELECT * REPLACE (s_suppkey + 59990 AS s_suppkey) FROM '{data}/supplier.parquet') TO '{folder}/supplier.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["q_block_metrics"])
+def test_rows_far_down_the_mask(spark, far_rows, name):
+    compare(spark, far_rows, QUERIES[name], ORACLES[name])
+
+
 def test_registry(spark):
     assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
