@@ -101,7 +101,8 @@ def retry_pass(spark: SparkSession, d: str) -> DataFrame:
 @query
 def props_flatten(spark: SparkSession, d: str) -> DataFrame:
     """Canonical columns and extras"""
-    e = views.events(spark, d).select("seq", F.col("commune"), F.lit("007").alias("manzana"), F.lpad(F.col("seq").cast("string"), 6, "0").alias("predio"), "response")
+    seq = F.col("seq").cast("string")  # padded to six digits, but never cut to them
+    e = views.events(spark, d).select("seq", F.col("commune"), F.lit("007").alias("manzana"), F.lpad(seq, F.greatest(F.lit(6), F.length(seq)), F.lit("0")).alias("predio"), "response")
     r = records.normalize(e)
     return records.wide(r, ["api_k"]).select("seq", "comuna", "manzana", "predio", "rol", "api_k")
 

@@ -52,6 +52,14 @@ def test_rows_far_down_the_mask(spark, far_rows, name):
     compare(spark, far_rows, QUERIES[name], ORACLES[name])
 
 
+def test_keys_of_more_than_six_digits(spark, data, tmp_path):
+    for t in TABLES:
+        (tmp_path / f"{t}.parquet").symlink_to(f"{data}/{t}.parquet")
+    (tmp_path / "events.parquet").unlink()
+    duckdb.execute(f"COPY (SELECT * REPLACE (event_id + 999990 AS event_id) FROM '{data}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    compare(spark, str(tmp_path), QUERIES["q_props_flatten"], ORACLES["q_props_flatten"])
+
+
 def test_registry(spark):
     assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
