@@ -52,6 +52,18 @@ def test_rows_far_down_the_mask(spark, far_rows, name):
     compare(spark, far_rows, QUERIES[name], ORACLES[name])
 
 
+@pytest.mark.parametrize("name", ["q_match_pip"])
+def test_points_on_a_boundary(spark, data, tmp_path, name):
+    """Two roles on the lower edge of a box, from whose projection onto it they differ by a rounding."""
+    for t in TABLES:
+        (tmp_path / f"{t}.parquet").symlink_to(f"{data}/{t}.parquet")
+    (tmp_path / "customer.parquet").unlink()
+    (tmp_path / "part.parquet").unlink()
+    duckdb.execute(f"COPY (SELECT * REPLACE (76738 + row_number() OVER () - 1 AS c_custkey) FROM '{data}/customer.parquet' LIMIT 2) TO '{tmp_path}/customer.parquet' (FORMAT parquet)")
+    duckdb.execute(f"COPY (SELECT * REPLACE (102303::BIGINT AS p_partkey, 19::INT AS p_size) FROM '{data}/part.parquet' LIMIT 1) TO '{tmp_path}/part.parquet' (FORMAT parquet)")
+    compare(spark, str(tmp_path), QUERIES[name], ORACLES[name])
+
+
 def test_keys_of_more_than_six_digits(spark, data, tmp_path):
     for t in TABLES:
         (tmp_path / f"{t}.parquet").symlink_to(f"{data}/{t}.parquet")
