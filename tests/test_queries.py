@@ -52,7 +52,7 @@ def test_rows_far_down_the_mask(spark, far_rows, name):
     compare(spark, far_rows, QUERIES[name], ORACLES[name])
 
 
-@pytest.mark.parametrize("name", ["q_match_pip"])
+@pytest.mark.parametrize("name", ["q_match_pip", "q_match_metrics"])
 def test_points_on_a_boundary(spark, data, tmp_path, name):
     """Two roles on the lower edge of a box, from whose projection onto it they differ by a rounding."""
     for t in TABLES:
