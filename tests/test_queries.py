@@ -47,7 +47,7 @@ def far_rows(data, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["q_block_metrics", "q_representative_points", "q_vectorization", "q_components", "q_mask_runs", "q_traced", "q_geometry_keys", "q_overlap_pairs", "q_holes"])
+@pytest.mark.parametrize("name", ["q_block_metrics", "q_representative_points", "q_vectorization", "q_components", "q_mask_runs", "q_traced", "q_geometry_keys", "q_overlap_pairs", "q_holes", "q_union_area"])
 def test_rows_far_down_the_mask(spark, far_rows, name):
     compare(spark, far_rows, QUERIES[name], ORACLES[name])
 
