@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwright.operators.graph import connected_components
+from parcelwright.plans.staging import stage
 from parcelwright.settings import Settings
 
 
@@ -73,10 +74,8 @@ def _run_ids(runs: DataFrame, by: str) -> DataFrame:
     return runs.withColumn("run", F.shiftleft(block, 40) + F.shiftleft(row.cast("long"), 20) + start)
 
 
-def _wide_ids(rows: DataFrame, shape: str) -> Column:
+def _wide_id(shape: str, row: Column, start: Column) -> Column:
     """An id of a run or gap of a shape that spans blocks: the shape's id, then row and start from its own corner."""
-    whole = Window.partitionBy(shape)
-    row, start = F.col("gy") - F.min("gy").over(whole), F.col("x0") - F.min("x0").over(whole)
     within = F.shiftleft(row.cast("long"), 24) + start.cast("long")
     return (F.col(shape).cast("decimal(20,0)") * F.lit(1 << 48).cast("decimal(17,0)") + within).cast("decimal(38,0)")
 
@@ -119,14 +118,20 @@ def fill_small_holes(shaped: DataFrame, settings: Settings) -> DataFrame:
     gaps = rows.withColumn("prev", F.lag("x1").over(row)).select("polygon_id", "block_id", "gy", "top", "bottom", "left", "right", F.coalesce("prev", F.col("left") - 1).alias("x0"), F.col("x0").alias("x1"))
     tails = rows.groupBy("polygon_id", "block_id", "gy", "top", "bottom", "left", "right").agg(F.max("x1").alias("x0")).withColumn("x1", F.col("right") + 1)
     gaps = gaps.unionByName(tails.select(*gaps.columns)).where("x0 < x1")
-    open_end = (F.col("x0") < F.col("left")) | (F.col("x1") > F.col("right")) | (F.col("gy") == F.col("top")) | (F.col("gy") == F.col("bottom"))
-    gaps = gaps.withColumn("open", open_end).withColumn("gap", _wide_ids(gaps, "polygon_id"))
+    # a gap as wide as the cut-off keeps its component from being small, as an open one keeps it from being closed
+    wide = F.col("x1") - F.col("x0") >= settings.pixels(settings.min_hole_area_m2)
+    stays = wide | (F.col("x0") < F.col("left")) | (F.col("x1") > F.col("right")) | (F.col("gy") == F.col("top")) | (F.col("gy") == F.col("bottom"))
+    # the corner is the shape's: Spark 4.1 can plan a window over a union on rows that are not together
+    gap = _wide_id("polygon_id", F.col("gy") - F.col("top"), F.col("x0") - F.col("left") + 1)
+    gaps = stage(gaps.select("polygon_id", "block_id", "gy", "x0", "x1", stays.alias("stays"), gap.alias("gap")), "gaps")
     p, q = gaps.alias("p"), gaps.withColumn("gy", F.col("gy") - 1).alias("q")
-    meet = (F.col("p.polygon_id") == F.col("q.polygon_id")) & (F.col("p.gy") == F.col("q.gy")) & (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1"))
-    labels = connected_components(p.join(q, meet).select(F.col("p.gap").alias("a"), F.col("q.gap").alias("b")))
-    g = gaps.join(labels, gaps["gap"] == labels["id"], "left").withColumn("hole", F.coalesce("component", "gap"))
-    small = g.groupBy("polygon_id", "hole").agg(F.sum(F.col("x1") - F.col("x0")).alias("px"), F.bool_or("open").alias("open")).where(~F.col("open") & (F.col("px") < settings.pixels(settings.min_hole_area_m2)))
-    filled = g.join(small.select("polygon_id", "hole"), ["polygon_id", "hole"], "left_semi").select(*shaped.columns)
+    meet = (F.col("p.polygon_id") == F.col("q.polygon_id")) & (F.col("p.gy") == F.col("q.gy")) & (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1")) & ~(F.col("p.stays") & F.col("q.stays"))
+    met = stage(p.join(q.hint("merge"), meet).select(F.col("p.gap").alias("a"), F.col("p.stays").alias("a_stays"), F.col("q.gap").alias("b"), F.col("q.stays").alias("b_stays")), "met")
+    labels = connected_components(met.where("not a_stays and not b_stays").select("a", "b"))
+    beside = met.where("a_stays or b_stays").select(F.when(F.col("a_stays"), F.col("b")).otherwise(F.col("a")).alias("gap")).distinct().withColumn("beside", F.lit(True))
+    g = gaps.where("not stays").join(labels.hint("merge"), F.col("gap") == labels["id"], "left").join(beside.hint("merge"), "gap", "left").withColumn("hole", F.coalesce("component", "gap"))
+    small = g.groupBy("hole").agg(F.sum(F.col("x1") - F.col("x0")).alias("px"), F.count("beside").alias("beside")).where((F.col("beside") == 0) & (F.col("px") < settings.pixels(settings.min_hole_area_m2)))
+    filled = g.join(small.select("hole").hint("merge"), "hole", "left_semi").select(*shaped.columns)
     return merge_runs(shaped.unionByName(filled), ["polygon_id", "block_id"])
 
 
@@ -169,7 +174,8 @@ def merge_shapes(shaped: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _parts(united: DataFrame) -> DataFrame:
-    r = united.withColumn("run", _wide_ids(united, "root_id"))
+    whole = Window.partitionBy("root_id")
+    r = united.withColumn("run", _wide_id("root_id", F.col("gy") - F.min("gy").over(whole), F.col("x0") - F.min("x0").over(whole)))
     p, q = r.alias("p"), r.withColumn("gy", F.col("gy") - 1).alias("q")
     meet = (F.col("p.root_id") == F.col("q.root_id")) & (F.col("p.gy") == F.col("q.gy")) & (F.col("p.x0") < F.col("q.x1")) & (F.col("q.x0") < F.col("p.x1"))
     labels = connected_components(p.join(q, meet).select(F.col("p.run").alias("a"), F.col("q.run").alias("b")))

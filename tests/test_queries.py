@@ -64,6 +64,18 @@ def test_points_on_a_boundary(spark, data, tmp_path, name):
     compare(spark, str(tmp_path), QUERIES[name], ORACLES[name])
 
 
+@pytest.mark.parametrize("name", ["q_holes"])
+def test_tables_too_large_for_a_broadcast(spark, name):
+    """Joins by shuffle leave both sides of a union dealt alike, of which a window over it must not depend."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    try:
+        compare(spark, "/root/testdata/sf0.01", QUERIES[name], ORACLES[name])
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_keys_of_more_than_six_digits(spark, data, tmp_path):
     for t in TABLES:
         (tmp_path / f"{t}.parquet").symlink_to(f"{data}/{t}.parquet")
