@@ -70,7 +70,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, by_length: bool = Tru
     text_hash = F.xxhash64(F.col("text"))
     by_line = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda line: templates(line, min_tokens))
     keyed = stage(docs.select("doc_id", text_hash.alias("_hash"), by_line.alias("keys")), "line-templates")
-    often = stage(recurring(keyed, min_docs, by_length), "recurring-lines")
+    # few of many templates recur: together they are files of a sensible size, not one for each task that counted some
+    often = stage(recurring(keyed, min_docs, by_length).hint("rebalance"), "recurring-lines")
     side = F.broadcast(often) if often.count() <= BROADCAST_ROWS else often
     lines = keyed.select("doc_id", "_hash", F.posexplode("keys").alias("line", "templates")).select("doc_id", "_hash", "line", F.explode("templates").alias("template"))
     hits = lines.join(side, "template").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))

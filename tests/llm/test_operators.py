@@ -363,6 +363,25 @@ def test_line_templates(spark):
     assert set(none.values()) == {0}
 
 
+def test_recurring_templates_are_staged_together(spark, monkeypatch):
+    """However many tasks count the templates, the few that recur are one file."""
+    rng, staged, real = random.Random(5), {}, linededup.stage
+    monkeypatch.setattr(linededup, "stage", lambda df, name: staged.setdefault(name, real(df, name)))
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    rows = [(i, " ".join(word() for _ in range(20)) + f"\nthe same line {chr(97 + i % 20)} in a hundred documents") for i in range(2000)]
+    sizes = dict.fromkeys(("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"), "16k")
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, size in sizes.items():
+        spark.conf.set(k, size)
+    try:
+        got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).agg(F.sum("n_dropped")).first()[0]
+    finally:
+        for k, size in before.items():
+            spark.conf.set(k, size)
+    assert got == 2000 - 1  # all but the first hold a line that differs from the others' in one word
+    assert len(staged["recurring-lines"].inputFiles()) == 1
+
+
 @pytest.mark.parametrize("n_docs", range(2, 10))
 def test_long_lines_in_few_documents(spark, n_docs):
     passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(55))
